@@ -23,16 +23,21 @@ def code_map(c: ColumnOrName, labels: Mapping[str, object], default=None, first:
     return chain.otherwise(F.lit(default))
 
 
-def band(c: ColumnOrName, ranges: Sequence[tuple[float | None, float | None, int]], default: int) -> Column:
-    """The label of the closed range that holds the value; ``default`` between ranges and for NULL.
-
-    A bound of ``None`` is open.
+def band(
+    c: ColumnOrName,
+    ranges: Sequence[tuple[float | None, float, int]],
+    above: tuple[float, int] | None = None,
+    default: int = 1,
+) -> Column:
+    """The label of the closed range (low, high, label) that holds the value; a low of None is open.
+
+    ``above`` is (bound, label) for all values greater than the bound. Values between ranges and NULL
+    get the default.
     """
     c = col(c)
-    cases = []
-    for low, high, label in ranges:
-        tests = ([c >= low] if low is not None else []) + ([c <= high] if high is not None else [])
-        cases.append((reduce(lambda a, b: a & b, tests), label))
+    cases = [((c <= high) if low is None else c.between(low, high), label) for low, high, label in ranges]
+    if above:
+        cases.append((c > above[0], above[1]))
     chain = F.when(*cases[0])
     for test, label in cases[1:]:
         chain = chain.when(test, label)
@@ -70,3 +75,23 @@ def any_of(tests: Sequence[Column]) -> Column:
 
 def all_of(tests: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, tests, F.lit(True))
+
+
+def fingerprint(columns: Sequence[ColumnOrName]) -> Column:
+    """64 bits over the row's JSON text: unequal fingerprints prove a change, equal ones only suggest none."""
+    return F.xxhash64(F.to_json(F.struct(*[col(c) for c in columns]), {"ignoreNullFields": "false"}))
+
+
+def money(c: ColumnOrName) -> Column:
+    """An amount as an exact decimal, so that sums do not depend on the order of rows."""
+    return col(c).cast("decimal(18,2)")
+
+
+def ratio(part: ColumnOrName, whole: ColumnOrName, digits: int = 4) -> Column:
+    """Part of whole, rounded; 0 where the whole is 0."""
+    whole = col(whole)
+    return F.round(F.coalesce(col(part) / F.nullif(whole, F.lit(0)), F.lit(0.0)), digits)
+
+
+def percent_text(share: ColumnOrName) -> Column:
+    return F.format_string("%.1f%%", col(share) * F.lit(100.0))

@@ -109,11 +109,12 @@ def capitalize(c: ColumnOrName) -> Column:
     return F.concat(F.upper(F.left(c, F.lit(1))), F.lower(F.substr(c, F.lit(2))))
 
 
-def bullets(columns: Sequence[ColumnOrName], limit: int = 255) -> Column:
+def bullets(columns: Sequence[ColumnOrName], limit: int | None = 255) -> Column:
     """Flatten multi-line bullet texts of several columns into one comma-separated text.
 
     Every line loses outer blanks and a leading "- "; empty lines and lone dashes go; the result is
-    cut at ``limit`` characters, the width of the column it is written to. NULL if nothing remains.
+    cut at ``limit`` characters, the width of the column it is written to (None keeps it whole). NULL
+    if nothing remains.
     """
     joined = F.concat_ws("\n", *[F.coalesce(col(c).cast("string"), F.lit("")) for c in columns])
     lines = F.split(F.replace(joined, F.lit("\r\n"), F.lit("\n")), "\n")
@@ -122,4 +123,5 @@ def bullets(columns: Sequence[ColumnOrName], limit: int = 255) -> Column:
         lambda line: strip_unicode(F.regexp_replace(strip_unicode(line), r"^- ", "")),
     )
     kept = F.filter(items, lambda item: ~item.isin("", "-"))
-    return F.nullif(F.left(F.array_join(kept, ", "), F.lit(limit)), F.lit(""))
+    flat = F.array_join(kept, ", ")
+    return F.nullif(flat if limit is None else F.left(flat, F.lit(limit)), F.lit(""))
