@@ -19,8 +19,21 @@ MISSING_TEXTS = ("None", "nan", "NaT")
 # The Thai block.
 THAI_RANGE = ("\u0e00", "\u0e7f")
 
-_BLANKS = r"[\s\x1c-\x1f]"
-_OUTER_BLANKS = rf"(?U)^{_BLANKS}+|{_BLANKS}+\z"
+# The characters Unicode and pandas-style stripping take for blanks.
+BLANK_CODE_POINTS = (
+    *range(0x09, 0x0E),
+    *range(0x1C, 0x21),
+    0x85,
+    0xA0,
+    0x1680,
+    *range(0x2000, 0x200B),
+    0x2028,
+    0x2029,
+    0x202F,
+    0x205F,
+    0x3000,
+)
+BLANKS = "".join(map(chr, BLANK_CODE_POINTS))
 
 
 def col(c: ColumnOrName) -> Column:
@@ -29,13 +42,13 @@ def col(c: ColumnOrName) -> Column:
 
 def strip_unicode(c: ColumnOrName) -> Column:
     """Trim every Unicode blank on both sides (``trim`` alone removes spaces only)."""
-    return F.regexp_replace(col(c), _OUTER_BLANKS, "")
+    return F.btrim(col(c), F.lit(BLANKS))
 
 
 def is_blank(c: ColumnOrName) -> Column:
     """True for NULL, '' and text of blanks only; never NULL itself."""
     c = col(c)
-    return c.isNull() | (strip_unicode(c.cast("string")) == "")
+    return c.isNull() | ~c.cast("string").rlike(r"(?U)[^\s\x1c-\x1f]")
 
 
 def blank_to_null(c: ColumnOrName) -> Column:
@@ -117,10 +130,10 @@ def bullets(columns: Sequence[ColumnOrName], limit: int | None = 255) -> Column:
     if nothing remains.
     """
     joined = F.concat_ws("\n", *[F.coalesce(col(c).cast("string"), F.lit("")) for c in columns])
-    lines = F.split(F.replace(joined, F.lit("\r\n"), F.lit("\n")), "\n")
+    # Splitting at the line feed is enough: the carriage return before it is an outer blank.
+    lines = F.transform(F.split(joined, "\n"), strip_unicode)
     items = F.transform(
-        lines,
-        lambda line: strip_unicode(F.regexp_replace(strip_unicode(line), r"^- ", "")),
+        lines, lambda x: F.when(x.startswith("- "), strip_unicode(F.substr(x, F.lit(3)))).otherwise(x)
     )
     kept = F.filter(items, lambda item: ~item.isin("", "-"))
     flat = F.array_join(kept, ", ")

@@ -90,7 +90,8 @@ def ordinal(df: DataFrame, order: Sequence[Column], name: str = "row_order") ->
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     position = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    return stored.join(offsets, "_part").select(
+    # One offset per partition of the sort: at most spark.sql.shuffle.partitions rows to broadcast.
+    return stored.join(F.broadcast(offsets), "_part").select(
         *df.columns, (position + F.col("_offset") + 1).cast("long").alias(name)
     )
 

@@ -7,18 +7,22 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keyloom.functions.rules import all_of
 from keyloom.operators.dedupe import keep_one
 from keyloom.session import broadcast_limit, estimated_bytes, shuffle_width
 
 
-def order_blocks(df: DataFrame, order: str, blocks: int | None = None, name: str = "_block") -> DataFrame:
+def order_blocks(
+    df: DataFrame, order: str, spread: Sequence[str], blocks: int | None = None, name: str = "_block"
+) -> DataFrame:
     """Number the rows by quantile block of a numeric column.
 
     With one block per shuffle partition no block holds much more than an average partition's rows,
     so grouping by (key, block) splits even a key that owns a third of the table. The quantiles are
-    one aggregate over one column. Rows without a value are spread over negative blocks.
+    one aggregate over one column. Rows without a value go to negative blocks by a hash of the
+    ``spread`` columns.
     """
     blocks = shuffle_width(df.sparkSession) if blocks is None else blocks
     value = F.col(order).cast("double")
@@ -32,7 +36,7 @@ def order_blocks(df: DataFrame, order: str, blocks: int | None = None, name: str
     edges = [-float("inf"), *cuts, float("inf")]
     bucketizer = Bucketizer(splits=edges, inputCol="_order", outputCol=name, handleInvalid="keep")
     numbered = bucketizer.transform(df.withColumn("_order", value)).drop("_order")
-    no_value = -1 - F.pmod(F.xxhash64(*df.columns), F.lit(blocks)).cast("int")
+    no_value = -1 - F.pmod(F.xxhash64(*spread), F.lit(blocks)).cast("int")
     return numbered.withColumn(name, F.coalesce(F.col(name).cast("int"), no_value))
 
 
@@ -53,7 +57,8 @@ def next_match(
     on one row per (key, block).
     """
     valid = F.col(key).isNotNull() & F.col(order).isNotNull()
-    numbered = order_blocks(df.withColumn("_hit", F.coalesce(qualifies & valid, F.lit(False))), order, blocks)
+    flagged = df.withColumn("_hit", F.coalesce(qualifies & valid, F.lit(False)))
+    numbered = order_blocks(flagged, order, [key, *payload], blocks)
     hit_payload = F.when(F.col("_hit"), F.struct(*payload))
 
     later = Window.partitionBy(key, "_block").orderBy(F.col(order).desc())
@@ -87,7 +92,8 @@ def latest_match(
     renamed = newest.select(
         F.col(right_key).alias("_key"), *[F.col(c).alias(as_name) for c, as_name in payload.items()]
     )
-    return skew_join(left.withColumn("_key", F.col(left_key)), renamed, "_key").drop("_key")
+    keyed = left.withColumn("_key", F.col(left_key))
+    return skew_join(keyed, renamed, "_key").drop("_key")
 
 
 def existence_flags(child: DataFrame, key: str, flags: Mapping[str, Column]) -> DataFrame:
@@ -110,37 +116,54 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*right_keys.values())
 
 
-def hot_keys(df: DataFrame, key: str, share: float | None = None, tracked: int = 1000) -> list:
-    """Keys that hold more than ``share`` of the rows (default: one shuffle partition's fair share).
+def hot_keys(df: DataFrame, key: str, share: float | None = None, tracked: int = 1000) -> tuple[list, bool]:
+    """Keys that hold more than ``share`` of the rows, and whether NULL does.
 
-    A heavy-hitter sketch in one pass without a shuffle. It only steers how rows are spread, so its
-    approximation cannot change a result. At most ``1 / share`` keys can qualify.
+    The default share is that of one shuffle partition. A heavy-hitter sketch in one pass without a
+    shuffle: it only steers how rows are spread, so its approximation cannot change a result. At
+    most ``1 / share`` keys can qualify.
     """
     share = 1.0 / shuffle_width(df.sparkSession) if share is None else share
     most = min(int(1 / share) + 1, tracked)
-    row = df.agg(
-        F.count(key).alias("n"), F.expr(f"approx_top_k({key}, {most}, {max(tracked, most) * 10})").alias("top")
-    ).first()
-    return [item["item"] for item in row["top"] or [] if item["count"] > share * row["n"]]
+    sketch = F.expr(f"approx_top_k({key}, {most}, {max(tracked, most) * 10})").alias("top")
+    row = df.agg(F.count("*").alias("n"), F.count(key).alias("keyed"), sketch).first()
+    limit = share * row["n"]
+    hot = [item["item"] for item in row["top"] or [] if item["item"] is not None and item["count"] > limit]
+    return hot, row["n"] - row["keyed"] > limit
 
 
-def skew_join(left: DataFrame, right: DataFrame, key: str, how: str = "left", salts: int | None = None) -> DataFrame:
+def skew_join(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    how: str = "left",
+    probe: DataFrame | None = None,
+    salts: int | None = None,
+) -> DataFrame:
     """Join on one key column where the left side may be dominated by a few keys.
 
-    A right side under the broadcast limit needs no shuffle, and Catalyst broadcasts it. Beyond that,
-    rows of hot keys are spread over ``salts`` partitions by a hash of the whole row and only those
-    keys' right rows are repeated per salt. Left rows with a NULL key match nothing and are spread
-    the same way. ``salts`` forces the salted form.
+    A right side under the broadcast limit needs no shuffle, and Catalyst broadcasts it. Beyond that
+    the left side is asked for hot keys. If there are any, their rows are spread over as many salts
+    as there are shuffle partitions, by a hash of the whole row, and only those keys' right rows are
+    repeated per salt; left rows with a NULL key match nothing and are spread the same way. Without
+    hot keys it is a plain join. Copies of one whole row share a salt; those are left to AQE, which
+    splits a partition regardless of its keys.
+
+    ``probe`` is a cheaper frame with the same key column to look for hot keys in, such as the table
+    the key comes from. ``salts`` forces the salted form.
     """
     if how not in ("left", "inner"):
         raise ValueError("the salted side must be the left one: how is 'left' or 'inner'")
     spark = left.sparkSession
     if salts is None and estimated_bytes(right) <= broadcast_limit(spark):
         return left.join(right, key, how)
+    hot, null_is_hot = hot_keys(left if probe is None else probe, key)
+    if salts is None and not hot and not null_is_hot:
+        return left.join(right, key, how)
     salts = shuffle_width(spark) if salts is None else salts
-    hot = hot_keys(left, key)
     is_hot = F.col(key).isin(*hot) if hot else F.lit(False)
-    spread = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    row_hash = F.xxhash64(*[f.name for f in left.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+    spread = F.pmod(row_hash, F.lit(salts)).cast("int")
     salted = left.withColumn("_salt", F.when(is_hot | F.col(key).isNull(), spread).otherwise(F.lit(0)))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     repeated = right.withColumn("_salt", F.explode(copies))

@@ -69,14 +69,12 @@ class Settlement:
 
 
 def with_settlement_inputs(invoices: DataFrame, items: DataFrame, receipts: DataFrame) -> DataFrame:
-    """One row per invoice with its next credit note and the facts its items and receipts settle.
+    """One row per live invoice with its next credit note and the facts its items and receipts settle.
 
-    Items and receipts shrink to one row per invoice before they are joined, so nothing fans out. An
+    ``invoices`` are the active ones that are not cancelled. Items and receipts shrink to one row per invoice before they are joined, so nothing fans out. An
     invoice counts as lump-sum only if it has items and all of them are lump-sum.
     """
-    is_credit_note = (
-        (F.col("TotalAmount") < 0) & (F.col("Amount") < 0) & F.col("IsActive") & ~F.col("IsCancel")
-    )
+    is_credit_note = (F.col("TotalAmount") < 0) & (F.col("Amount") < 0)
     matched = next_match(invoices, "StudentId", "Id", is_credit_note, ["Amount", "TotalAmount", "UpdatedAt"])
     is_lump = F.coalesce(F.col("FeeItemName").startswith(LUMP_SUM_PREFIX), F.lit(False))
     item_flags = existence_flags(items, "InvoiceId", {"_lump": is_lump, "_other": ~is_lump})
@@ -109,16 +107,17 @@ def settle(
     lump-sum invoices of ``lump_sum_term`` (year, term) count as paid. The next credit note is looked
     up among all invoices, before any is left out.
     """
-    facts = with_settlement_inputs(invoices, items, receipts)
-    billable = facts.filter(
-        F.col("IsActive")
-        & ~F.col("IsCancel")
-        & ~((F.col("TotalAmount") == 0) & ~F.col("IsPaid"))
+    # Neither a billable invoice nor a credit note may be inactive or cancelled, so that test comes
+    # first and reaches the scan. The other tests hold for billable invoices only.
+    live = invoices.filter(F.col("IsActive") & ~F.col("IsCancel"))
+    billable = with_settlement_inputs(live, items, receipts).filter(
+        ~((F.col("TotalAmount") == 0) & ~F.col("IsPaid"))
         & ((~F.col("Number").isin(*excluded)) if excluded else F.col("Number").isNotNull())
     )
     term = terms.select(F.col("Id").alias("TermId"), "AcademicYear", "AcademicTerm")
     student = students.select(F.col("Id").alias("StudentId"), F.col("Code").alias("_code"))
-    placed = skew_join(skew_join(billable, term, "TermId", "inner"), student, "StudentId", "inner")
+    placed = skew_join(billable, term, "TermId", "inner", probe=live)
+    placed = skew_join(placed, student, "StudentId", "inner", probe=live)
     year, number = lump_sum_term
     s = Settlement(
         total=F.col("TotalAmount"),

@@ -34,11 +34,12 @@ def _admitted(tables: Inputs) -> DataFrame:
     terms = tables["terms"].select(
         F.col("Id").alias("_term"), F.col("AcademicYear").alias("_year"), F.col("AcademicTerm").alias("_number")
     )
+    # The result is distinct, so copies of one master row may go before the join.
     master = tables["student_master"].select(
         F.col("studentCode").alias("Code"), F.col("programCode").alias("_programme")
-    )
+    ).distinct()
     df = skew_join(tables["students"].join(admission, "Id", "left"), terms, "_term")
-    return skew_join(df.filter(eligible()), master, "Code")
+    return df.filter(eligible()).join(master, "Code", "left")
 
 
 def build(tables: Inputs) -> DataFrame:
@@ -57,7 +58,7 @@ def build(tables: Inputs) -> DataFrame:
         (named("admission_types", "_type", "NameTh", "_admission").withColumn("_known", F.lit(True)), "_type"),
     )
     for right, key in lookups:
-        df = skew_join(df, right, key)
+        df = skew_join(df, right, key, probe=None if key == "_type" else tables["students"])
     df = df.withColumn("_major", F.substring("_programme", 1, V.MAJOR_CODE_LENGTH))
     majors = {"NameEn": "_major_name", "Division": "_division", "DivisionName": "_division_name"}
     df = latest_match(df, tables["majors"], "_major", "Major", "Id", majors)

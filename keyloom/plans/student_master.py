@@ -47,13 +47,14 @@ def _joined(tables: Inputs) -> DataFrame:
     nations = _lookup(tables["nationalities"], "NationalityId", {"NameEn": "_nation"})
     fee_types = _lookup(tables["student_fee_types"], "StudentFeeTypeId", {"NameEn": "_fee_type"})
     df = students.join(programme, "Id")
-    for right, key in ((versions, "_version"), (curricula, "_curriculum")):
-        df = skew_join(df, right, key)
+    # Hot keys are looked for in the table a key comes from.
+    df = skew_join(df, versions, "_version", probe=programme)
+    df = skew_join(df, curricula, "_curriculum", probe=versions)
     for right in (academic, admission, graduation):
         df = df.join(right, "Id", "left")
-    for right, key in ((terms, "_term"), (nations, "NationalityId"), (fee_types, "StudentFeeTypeId")):
-        df = skew_join(df, right, key)
-    return df
+    df = skew_join(df, terms, "_term", probe=admission)
+    df = skew_join(df, nations, "NationalityId", probe=students)
+    return skew_join(df, fee_types, "StudentFeeTypeId", probe=students)
 
 
 def build(tables: Inputs, override_codes: Sequence[str] = ()) -> DataFrame:
