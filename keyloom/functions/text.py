@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-# The words a mail field uses for "no value", the characters that may wrap an address,
-# the address pattern, and the texts a data frame leaves behind for a missing value.
-MISSING_MAIL_WORDS = ("none", "null", "nan")
+# The characters that may wrap an address, the address pattern, and the texts a data
+# frame leaves behind for a missing value.
 MAIL_WRAPPERS = "<>\"'()[]"
 MAIL_PATTERN = r"^[A-Za-z0-9._%+\-]+@[A-Za-z0-9.\-]+\.[A-Za-z]{2,}\z"
 MISSING_TEXTS = ("None", "nan", "NaT")
@@ -77,7 +76,7 @@ def norm(c: ColumnOrName) -> Column:
 def clean_digits(c: ColumnOrName) -> Column:
     """A numeric identifier without blanks and zero-width spaces; NULL if anything but digits stays."""
     compact = F.regexp_replace(col(c).cast("string"), r"(?U)[\s\x1c-\x1f\x{200B}]", "")
-    return F.when(compact.rlike(r"^[0-9]+\z"), compact)
+    return F.nullif(F.regexp_extract(compact, r"^[0-9]+\z", 0), F.lit(""))
 
 
 def clean_id(c: ColumnOrName) -> Column:
@@ -90,13 +89,15 @@ def clean_id(c: ColumnOrName) -> Column:
 
 
 def clean_email(c: ColumnOrName) -> Column:
-    """The first address of a mail field, without wrapping characters; NULL if it is none."""
-    text = strip_unicode(col(c).cast("string"))
-    first = text
+    """The first address of a mail field, without wrapping characters; NULL if it is none.
+
+    The words for "no value" (none, null, nan) are no addresses, so the pattern covers them.
+    """
+    first = strip_unicode(col(c).cast("string"))
     for separator in (",", ";", " "):
         first = strip_unicode(F.substring_index(first, separator, 1))
     first = F.btrim(first, F.lit(MAIL_WRAPPERS))
-    return F.when(~F.lower(text).isin(*MISSING_MAIL_WORDS) & first.rlike(MAIL_PATTERN), first)
+    return F.nullif(F.regexp_extract(first, MAIL_PATTERN, 0), F.lit(""))
 
 
 def has_script(c: ColumnOrName, script: tuple[str, str] = THAI_RANGE) -> Column:
