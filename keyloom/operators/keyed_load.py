@@ -7,7 +7,7 @@ otherwise repeat rows silently.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
@@ -79,7 +79,11 @@ def _sentinel(c: Column, data_type: T.DataType) -> Column:
 
 
 class _Columns:
-    """Column expressions over one row that holds both sides, prefixed ``_s_`` and ``_t_``."""
+    """Column expressions over one joined row: ``_t`` holds the target's columns, ``_s`` the source's.
+
+    Each side crosses the join as one struct and the columns of a guarded load are compared as two
+    arrays, so that the plan of a wide table stays as small as that of a narrow one.
+    """
 
     def __init__(self, target: DataFrame, source: DataFrame, rule: LoadRule):
         self.rule = rule
@@ -94,68 +98,91 @@ class _Columns:
         stamped = {c.lower() for c in rule.stamp}
         self.stamped = [c for c in source_of if c.lower() in stamped - skipped]
         self.compared = [c for c in source_of if c.lower() not in skipped | stamped]
-
-    def s(self, c: str) -> Column:
-        return F.col(f"_s_{self.source_of[c]}").cast(self.schema[c].dataType)
-
-    def t(self, c: str) -> Column:
-        return F.col(f"_t_{c}")
-
-    def differs(self, c: str) -> Column:
-        s, t, data_type = self.s(c), self.t(c), self.schema[c].dataType
-        if self.rule.compare == "guarded":
-            return (norm(s) != norm(t)) & (norm(s) != "")
-        if self.rule.compare == "sentinel":
-            return _sentinel(s, data_type) != _sentinel(t, data_type)
-        return ~s.eqNullSafe(t)
-
-    def op(self) -> Column:
-        changed = any_of([self.differs(c) for c in self.compared])
-        return (
-            F.when(F.col("_t_hit").isNull(), F.lit("INSERT"))
-            .when(F.col("_s_hit").isNull(), F.lit("KEEP"))
-            .when(changed, F.lit("UPDATE"))
-            .otherwise(F.lit("KEEP"))
-        )
-
-    def _written(self, c: str) -> Column:
-        if self.rule.assign == "nonblank":
-            return clean_value(self.s(c)).cast(self.schema[c].dataType)
-        return self.s(c)
-
-    def result(self, c: str) -> Column:
-        """Column ``c`` of the merged row, given ``_op``."""
-        op, t = F.col("_op"), self.t(c)
-        if c in self.rule.keys:
-            value = F.when(op == "INSERT", self.s(c)).otherwise(t)
-        elif c in self.compared and self.rule.assign == "nonblank":
-            value = (
-                F.when(op == "INSERT", self._written(c))
-                .when((op == "UPDATE") & self.differs(c), self._written(c))
-                .otherwise(t)
+        self.per_column = rule.assign == "nonblank"
+
+    def source_struct(self) -> Column:
+        """The source columns a load may write, under target names and types; text ones cleaned if guarded."""
+        written = [*self.rule.keys, *self.compared, *self.stamped]
+
+        def value(c: str) -> Column:
+            raw = F.col(self.source_of[c])
+            if c in self.compared and self.per_column:
+                return clean_value(raw)
+            return raw.cast(self.schema[c].dataType)
+
+        return F.struct(*[value(c).alias(c) for c in written])
+
+    def _s(self, c: str) -> Column:
+        return F.col("_s").getField(c)
+
+    def _t(self, c: str) -> Column:
+        return F.col("_t").getField(c)
+
+    def with_op(self, paired: DataFrame) -> DataFrame:
+        """Add ``_op`` (INSERT, UPDATE or KEEP) and, for a guarded load, ``_old`` and ``_new`` as text."""
+        inserted, kept = F.col("_t").isNull(), F.col("_s").isNull()
+        if self.per_column:
+            old = F.array(*[self._t(c).cast("string") for c in self.compared]).cast("array<string>")
+            given = F.array(*[self._s(c) for c in self.compared]).cast("array<string>")
+            merged = F.zip_with(
+                "_old", "_given", lambda t, s: F.when(s.isNull() | (F.lower(s) == norm(t)), t).otherwise(s)
             )
-        elif c in self.compared or c in self.stamped:
-            value = F.when(op.isin("INSERT", "UPDATE"), self.s(c)).otherwise(t)
+            paired = paired.withColumns({"_old": old, "_given": given})
+            paired = paired.withColumn("_new", F.when(inserted, F.col("_given")).when(kept, F.col("_old")).otherwise(merged))
+            same = F.col("_new").eqNullSafe(F.col("_old"))
+        elif self.rule.compare == "sentinel":
+            same = self._sentinels(self._s) == self._sentinels(self._t)
         else:
-            value = F.when(op != "INSERT", t)
-        return value.alias(c)
+            same = F.struct(*[self._s(c).alias(c) for c in self.compared]).eqNullSafe(
+                F.struct(*[self._t(c).alias(c) for c in self.compared])
+            )
+        if not self.compared:
+            same = F.lit(True)
+        op = F.when(inserted, "INSERT").when(kept | same, "KEEP").otherwise("UPDATE")
+        return paired.withColumn("_op", op)
+
+    def _sentinels(self, side) -> Column:
+        return F.struct(*[_sentinel(side(c), self.schema[c].dataType).alias(c) for c in self.compared])
+
+    def row(self) -> Column:
+        """The merged row as one struct: the target's where nothing is written."""
+        fields = []
+        for c in self.names:
+            if c in self.rule.keys:
+                value = F.coalesce(self._t(c), self._s(c))
+            elif c in self.compared and self.per_column:
+                value = F.col("_new")[self.compared.index(c)].cast(self.schema[c].dataType)
+            elif c in self.compared or c in self.stamped:
+                value = self._s(c)
+            else:
+                value = self._t(c)
+            fields.append(value.alias(c))
+        return F.when(F.col("_op") == "KEEP", F.col("_t")).otherwise(F.struct(*fields))
 
     def changes(self) -> Column:
         """Map column → {old, new} of an updated row; empty for inserts.
 
         Guarded loads report what differs after normalization, others what differs as text.
         """
+        kind = "map<string,struct<old:string,new:string>>"
+        empty = F.create_map().cast(kind)
         shown = self.compared if self.rule.audit is None else [c for c in self.compared if c in self.rule.audit]
-        empty = F.create_map().cast("map<string,struct<old:string,new:string>>")
         if not shown:
             return empty
-        entries = []
-        for c in shown:
-            pair = F.struct(self.t(c).cast("string").alias("old"), F.col(c).cast("string").alias("new"))
-            entries += [F.lit(c), pair]
-        form = norm if self.rule.compare == "guarded" else (lambda v: v)
-        differing = F.map_filter(F.create_map(*entries), lambda _, v: ~form(v["old"]).eqNullSafe(form(v["new"])))
-        return F.when(F.col("_op") == "UPDATE", differing).otherwise(empty)
+        if self.per_column:
+            pairs = F.zip_with("_old", "_new", lambda t, n: F.struct(t.alias("old"), n.alias("new")))
+            names = F.array(*[F.lit(c) for c in self.compared])
+            differing = F.map_filter(
+                F.map_from_arrays(names, pairs),
+                lambda c, v: c.isin(*shown) & (norm(v["old"]) != norm(v["new"])),
+            )
+        else:
+            entries = []
+            for c in shown:
+                old, new = (side(c).cast("string") for side in (self._t, self._s))
+                entries += [F.lit(c), F.struct(old.alias("old"), new.alias("new"))]
+            differing = F.map_filter(F.create_map(*entries), lambda _, v: ~v["old"].eqNullSafe(v["new"]))
+        return F.when(F.col("_op") == "UPDATE", differing.cast(kind)).otherwise(empty)
 
 
 def usable_source(source: DataFrame, rule: LoadRule) -> DataFrame:
@@ -165,37 +192,29 @@ def usable_source(source: DataFrame, rule: LoadRule) -> DataFrame:
     return source.filter(" AND ".join(f"trim(cast(`{k}` as string)) <> ''" for k in rule.keys))
 
 
-def _join_key(c: Column, rule: LoadRule) -> Column:
-    return F.trim(c.cast("string")) if rule.trim_key else c
-
-
 def _pair_up(target: DataFrame, source: DataFrame, rule: LoadRule, how: str) -> tuple[DataFrame, _Columns]:
     columns = _Columns(target, source, rule)
-    s_keys = {k: columns.source_of[k] for k in rule.keys}
-    source = usable_source(source, replace(rule, keys=tuple(s_keys.values())))
+    s_keys = [columns.source_of[k] for k in rule.keys]
+    source = usable_source(source, replace(rule, keys=tuple(s_keys)))
 
-    def side(df: DataFrame, prefix: str, keys: Mapping[str, str]) -> DataFrame:
-        # Rows with a NULL key match nothing; their content hash spreads them over the partitions.
-        no_key = any_of([F.col(c).isNull() for c in keys.values()])
+    def side(df: DataFrame, keys: Sequence[str], name: str, row: Column) -> DataFrame:
+        # Rows with a NULL key match nothing; the hash of their columns spreads them over the partitions.
+        no_key = any_of([F.col(k).isNull() for k in keys])
         spread = F.when(no_key, F.xxhash64(*df.columns)).otherwise(F.lit(0))
-        return df.select(
-            *[_join_key(F.col(c), rule).alias(f"_k{i}") for i, c in enumerate(keys.values())],
-            spread.alias("_spread"),
-            F.lit(True).alias(f"{prefix}hit"),
-            *[F.col(c).alias(f"{prefix}{c}") for c in df.columns],
-        )
-
-    on = [f"_k{i}" for i in range(len(rule.keys))] + ["_spread"]
-    t_side = side(target, "_t_", {k: k for k in rule.keys})
-    s_side = side(source, "_s_", s_keys)
+        join_keys = [F.trim(F.col(k).cast("string")) if rule.trim_key else F.col(k) for k in keys]
+        return df.select(*[k.alias(f"_k{i}") for i, k in enumerate(join_keys)], spread.alias("_spread"), row.alias(name))
+
+    on = [*(f"_k{i}" for i in range(len(rule.keys))), "_spread"]
+    t_side = side(target, rule.keys, "_t", F.struct(*[F.col(c) for c in target.columns]))
+    s_side = side(source, s_keys, "_s", columns.source_struct())
     paired = t_side.join(s_side, on, how) if how == "full" else s_side.join(t_side, on, how)
-    return paired.withColumn("_op", columns.op()), columns
+    return columns.with_op(paired), columns
 
 
 def upsert(target: DataFrame, source: DataFrame, rule: LoadRule) -> DataFrame:
     """The whole merged table: target rows updated, kept, and source rows inserted. One outer join."""
     paired, columns = _pair_up(target, source, rule, "full")
-    return paired.select(*[columns.result(c) for c in columns.names])
+    return paired.select(columns.row().alias("_row")).select("_row.*")
 
 
 def change_set(target: DataFrame, source: DataFrame, rule: LoadRule) -> DataFrame:
@@ -205,9 +224,9 @@ def change_set(target: DataFrame, source: DataFrame, rule: LoadRule) -> DataFram
     """
     paired, columns = _pair_up(target, source, rule, "left")
     touched = paired.filter("_op <> 'KEEP'")
-    old = [F.col(f"_t_{c}") for c in columns.names]
-    rows = touched.select("_op", *old, *[columns.result(c) for c in columns.names])
-    return rows.select("_op", *columns.names, columns.changes().alias("changes"))
+    return touched.select("_op", columns.row().alias("_row"), columns.changes().alias("changes")).select(
+        "_op", "_row.*", "changes"
+    )
 
 
 def apply_changes(target: DataFrame, delta: DataFrame, rule: LoadRule) -> DataFrame:
