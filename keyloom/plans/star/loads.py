@@ -343,7 +343,8 @@ def inserted(t):
     """,
 )
 def refresh_report(t):
-    newest = keep_one(t.orders.select("o_custkey", "o_orderkey"), ["o_custkey"], [F.col("o_orderkey").desc()])
+    orders = t.orders.select("o_custkey", "o_orderkey")
+    newest = keep_one(orders, ["o_custkey"], [F.col("o_orderkey").desc()], total=False)
     before = t.customer.agg(F.count("*")).scalar()
     return refresh_counts(newest, "o_custkey").select(before.alias("before"), "rows", "distinct_keys")
 

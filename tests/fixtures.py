@@ -3,7 +3,6 @@
 import datetime as dt
 from decimal import Decimal
 
-NBSP, ZWSP = " ", "​"
 
 
 def student_tables(spark):

@@ -17,9 +17,17 @@ def by(df, key):
     return {r[key]: r for r in df.collect()}
 
 
-@pytest.fixture
-def tables(spark):
-    return fixtures.student_tables(spark)
+def stored(tables, tmp_path_factory):
+    """Write the tables once, so that Spark knows their sizes as it does those of real tables."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    for name, df in tables.items():
+        df.coalesce(1).write.parquet(f"{folder}/{name}")
+    return {name: df.sparkSession.read.parquet(f"{folder}/{name}") for name, df in tables.items()}
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    return stored(fixtures.student_tables(spark), tmp_path_factory)
 
 
 def test_student_master_rows(spark, tables):
@@ -90,8 +98,9 @@ def test_repeated_answers_fail(spark):
         enrollment.enrollment_answers(twice)
 
 
-def test_invoices(spark, folder):
-    built = invoices.build(fixtures.invoice_tables(spark), manual_paid=["hand"], excluded=["out"])
+def test_invoices(spark, folder, tmp_path_factory):
+    tables = stored(fixtures.invoice_tables(spark), tmp_path_factory)
+    built = invoices.build(tables, manual_paid=["hand"], excluded=["out"])
     rows = by(invoices.transform(built), "invoiceId")
     day, d = dt.datetime(2024, 1, 2, 3, 4, 5), Decimal
 
@@ -194,8 +203,8 @@ def test_student_dimension_cleaning(spark):
     assert keyless.first()["student_id"] is None
 
 
-def test_printer_usage(spark, folder):
-    built = printer_usage.build(fixtures.printer_tables(spark))
+def test_printer_usage(spark, folder, tmp_path_factory):
+    built = printer_usage.build(stored(fixtures.printer_tables(spark), tmp_path_factory))
     rows = {(r["job_type"], r["usage_calendar_year"], r["usage_calendar_month"]): r for r in printer_usage.transform(built).collect()}
     assert set(rows) == {("print", 2023, 10), ("copy", 2024, 9)}
     october, september = rows["print", 2023, 10], rows["copy", 2024, 9]
