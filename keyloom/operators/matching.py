@@ -14,30 +14,53 @@ from keyloom.operators.dedupe import keep_one
 from keyloom.session import broadcast_limit, estimated_bytes, shuffle_width
 
 
-def order_blocks(
-    df: DataFrame, order: str, spread: Sequence[str], blocks: int | None = None, name: str = "_block"
-) -> DataFrame:
-    """Number the rows by quantile block of a numeric column.
+# Sketches of single tasks are merged in this many groups before the groups are merged, so that no
+# task merges one sketch per input partition.
+SKETCH_GROUPS = 200
+
+
+def _by_sketch_group(df: DataFrame, value: Column) -> DataFrame:
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
+    return df.select(value.alias("v"), group.alias("g")).groupBy("g")
+
+
+def quantile_cuts(df: DataFrame, value: Column, parts: int) -> list[float]:
+    """At most ``parts - 1`` ascending values that cut the rows into parts of about equal size.
 
-    With one block per shuffle partition no block holds much more than an average partition's rows,
-    so grouping by (key, block) splits even a key that owns a third of the table. The quantiles are
-    one aggregate over one column. Rows without a value go to negative blocks by a hash of the
-    ``spread`` columns.
+    A mergeable quantile sketch over one column, in one pass without shuffling rows.
+    """
+    precision = max(200, min(65_535, 8 * parts))
+    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    sketches = _by_sketch_group(df, value).agg(F.kll_sketch_agg_double("v", precision).alias("s"), F.count("v").alias("n"))
+    # Grouping by a constant gives no row, and so no sketch, for an empty table.
+    merged = sketches.filter("n > 0").groupBy(F.lit(1)).agg(F.kll_merge_agg_double("s", precision).alias("s"))
+    row = merged.select(F.kll_sketch_get_quantile_double("s", shares)).first()
+    return sorted(set(row[0])) if row else []
+
+
+def order_blocks(df: DataFrame, key: str, order: str, hot: Sequence, blocks: int, name: str = "_block") -> DataFrame:
+    """Add a block number that splits the rows of hot keys along a numeric order column.
+
+    The blocks are quantiles of the hot keys' rows, so no (key, block) holds more than about
+    ``1 / blocks`` of them. All rows of another key are in block 0. Rows without a key or, for hot
+    keys, without an order value match nothing; a hash spreads them.
     """
-    blocks = shuffle_width(df.sparkSession) if blocks is None else blocks
     value = F.col(order).cast("double")
-    cuts = []
-    if blocks > 1:
-        shares = F.array(*[F.lit(i / blocks) for i in range(1, blocks)])
-        found = df.agg(F.percentile_approx(value, shares, F.lit(max(10_000, 20 * blocks)))).first()[0]
-        cuts = sorted(set(found or []))
-    if not cuts:
-        return df.withColumn(name, F.lit(0))
-    edges = [-float("inf"), *cuts, float("inf")]
-    bucketizer = Bucketizer(splits=edges, inputCol="_order", outputCol=name, handleInvalid="keep")
-    numbered = bucketizer.transform(df.withColumn("_order", value)).drop("_order")
-    no_value = -1 - F.pmod(F.xxhash64(*spread), F.lit(blocks)).cast("int")
-    return numbered.withColumn(name, F.coalesce(F.col(name).cast("int"), no_value))
+    is_hot = F.col(key).isin(*hot) if hot else F.lit(False)
+    cuts = quantile_cuts(df.filter(is_hot), value, blocks) if hot and blocks > 1 else []
+    block = F.lit(0)
+    if cuts:
+        edges = [-float("inf"), *cuts, float("inf")]
+        bucketizer = Bucketizer(splits=edges, inputCol="_order", outputCol="_part", handleInvalid="keep")
+        df = bucketizer.transform(df.withColumn("_order", value)).drop("_order")
+        block = F.when(is_hot, F.coalesce(F.col("_part").cast("int"), _spread(df.columns, blocks))).otherwise(block)
+    block = F.when(F.col(key).isNull(), _spread(df.columns, blocks)).otherwise(block)
+    return df.withColumn(name, block).drop("_part")
+
+
+def _spread(columns: Sequence[str], parts: int) -> Column:
+    """-1 down to -parts by the content of the row."""
+    return -1 - F.pmod(F.xxhash64(*columns), F.lit(parts)).cast("int")
 
 
 def next_match(
@@ -46,34 +69,40 @@ def next_match(
     order: str,
     qualifies: Column,
     payload: Sequence[str],
-    blocks: int | None = None,
     name: str = "nxt",
+    hot: Sequence | None = None,
+    blocks: int | None = None,
 ) -> DataFrame:
     """Add ``name``: the payload of the first later row of the same key that qualifies, else NULL.
 
-    "Later" is a greater value of ``order``, a numeric column unique within the key. Two levels keep
-    a hot key splittable: inside a (key, block) a running frame finds the match, and for matches in
-    later blocks the first qualifying row of each (key, block) is carried backwards. The carry works
-    on one row per (key, block).
+    "Later" is a greater value of ``order``, a numeric column unique within the key. A running frame
+    per key finds the match in one shuffle. Keys too large for one task are split into blocks along
+    the order: the frame then runs per (key, block), and what it cannot see, the first qualifying row
+    of the key's later blocks, is carried backwards from one summary row per (key, block) of those
+    keys. ``hot`` and ``blocks`` override the keys that are found and the number of blocks.
     """
+    hot = hot_keys(df, key)[0] if hot is None else list(hot)
+    blocks = shuffle_width(df.sparkSession) if blocks is None else blocks
     valid = F.col(key).isNotNull() & F.col(order).isNotNull()
     flagged = df.withColumn("_hit", F.coalesce(qualifies & valid, F.lit(False)))
-    numbered = order_blocks(flagged, order, [key, *payload], blocks)
-    hit_payload = F.when(F.col("_hit"), F.struct(*payload))
+    numbered = order_blocks(flagged, key, order, hot, blocks)
 
     later = Window.partitionBy(key, "_block").orderBy(F.col(order).desc())
     later = later.rowsBetween(Window.unboundedPreceding, -1)
+    hit_payload = F.when(F.col("_hit"), F.struct(*payload))
     inside = numbered.withColumn("_inside", F.last(hit_payload, ignorenulls=True).over(later))
+    if not hot:
+        return inside.select(*df.columns, F.when(valid, F.col("_inside")).alias(name))
 
     hit_order = F.when(F.col("_hit"), F.col(order))
-    firsts = numbered.groupBy(key, "_block").agg(
+    summaries = numbered.filter(F.col(key).isin(*hot) & (F.col("_block") >= 0)).groupBy(key, "_block").agg(
         F.min(hit_order).alias("_first"),
         *[F.min_by(F.col(c), hit_order).alias(c) for c in payload],
     )
     later_blocks = Window.partitionBy(key).orderBy(F.col("_block").desc())
     later_blocks = later_blocks.rowsBetween(Window.unboundedPreceding, -1)
     first_payload = F.when(F.col("_first").isNotNull(), F.struct(*payload))
-    carried = firsts.select(
+    carried = summaries.select(
         key, "_block", F.last(first_payload, ignorenulls=True).over(later_blocks).alias("_carried")
     )
     found = F.when(valid, F.coalesce("_inside", "_carried"))
@@ -116,20 +145,25 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(renamed, condition, how).drop(*right_keys.values())
 
 
-def hot_keys(df: DataFrame, key: str, share: float | None = None, tracked: int = 1000) -> tuple[list, bool]:
+def hot_keys(df: DataFrame, key: str, share: float | None = None) -> tuple[list, bool]:
     """Keys that hold more than ``share`` of the rows, and whether NULL does.
 
-    The default share is that of one shuffle partition. A heavy-hitter sketch in one pass without a
-    shuffle: it only steers how rows are spread, so its approximation cannot change a result. At
-    most ``1 / share`` keys can qualify.
+    The default share is that of one shuffle partition, but no less than a ten-thousandth; at most
+    ``1 / share`` keys can exceed it. A mergeable heavy-hitter sketch in one pass without a shuffle of
+    rows: it only steers how rows are spread, so its approximation cannot change a result.
     """
-    share = 1.0 / shuffle_width(df.sparkSession) if share is None else share
-    most = min(int(1 / share) + 1, tracked)
-    sketch = F.expr(f"approx_top_k({key}, {most}, {max(tracked, most) * 10})").alias("top")
-    row = df.agg(F.count("*").alias("n"), F.count(key).alias("keyed"), sketch).first()
-    limit = share * row["n"]
-    hot = [item["item"] for item in row["top"] or [] if item["item"] is not None and item["count"] > limit]
-    return hot, row["n"] - row["keyed"] > limit
+    share = max(1.0 / shuffle_width(df.sparkSession), 0.0001) if share is None else share
+    most = int(1 / share) + 1
+    tracked = max(100, 4 * most)
+    sketches = _by_sketch_group(df, F.col(key)).agg(
+        F.expr(f"approx_top_k_accumulate(v, {tracked})").alias("s"), F.count("*").alias("n")
+    )
+    merged = sketches.groupBy(F.lit(1)).agg(
+        F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"), F.sum("n").alias("n")
+    )
+    row = merged.select("n", F.expr(f"approx_top_k_estimate(s, {most})").alias("top")).first()
+    found = [item["item"] for item in row["top"] if item["count"] > share * row["n"]] if row else []
+    return [k for k in found if k is not None], None in found
 
 
 def skew_join(

@@ -20,9 +20,9 @@ def brute_next(rows):
     return found
 
 
-def spark_next(spark, rows, blocks):
+def spark_next(spark, rows, blocks, hot=None):
     df = spark.createDataFrame(rows, "k string, o long, q boolean, p string")
-    out = matching.next_match(df, "k", "o", F.col("q"), ["p"], blocks=blocks)
+    out = matching.next_match(df, "k", "o", F.col("q"), ["p"], hot=hot, blocks=blocks)
     return {(r["k"], r["o"]): r["nxt"]["p"] if r["nxt"] else None for r in out.collect()}
 
 
@@ -31,23 +31,32 @@ def spark_next(spark, rows, blocks):
     orders=st.lists(st.integers(-50, 200), unique=True, min_size=1, max_size=40),
     seed=st.integers(0, 10_000),
     blocks=st.sampled_from([1, 3, 7]),
+    hot=st.sampled_from([None, [], ["hot"], ["hot", "a"]]),
 )
-def test_next_match_equals_brute_force(spark, orders, seed, blocks):
+def test_next_match_equals_brute_force(spark, orders, seed, blocks, hot):
     rng = random.Random(seed)
     rows = [(rng.choice(["hot", "hot", "a", None]), o, rng.choice([True, False, None]), f"p{o}") for o in orders]
-    assert spark_next(spark, rows, blocks) == brute_next(rows)
+    assert spark_next(spark, rows, blocks, hot) == brute_next(rows)
 
 
 def test_next_match_with_a_hot_key_and_null_orders(spark):
     rows = [("hot", o, o % 97 == 0, f"p{o}") for o in range(1500)]
     rows += [(f"k{o}", o, o % 2 == 0, f"p{o}") for o in range(1500, 1600)] + [("hot", None, True, "never")]
-    assert spark_next(spark, rows, 16) == brute_next(rows)
+    want = brute_next(rows)
+    assert spark_next(spark, rows, 16) == want
+    assert spark_next(spark, rows, 16, ["hot", "k1502"]) == want
+    found, _ = matching.hot_keys(spark.createDataFrame(rows, "k string, o long, q boolean, p string"), "k")
+    assert found == ["hot"]
 
 
 def test_order_blocks_split_a_hot_key(spark):
-    df = spark.range(10_000).select(F.lit("hot").alias("k"), (F.col("id") * F.col("id")).alias("o"))
-    sizes = [r["count"] for r in matching.order_blocks(df, "o", ["k"], 20).groupBy("k", "_block").count().collect()]
-    assert len(sizes) == 20 and max(sizes) < 2 * 10_000 / 20
+    hot = spark.range(10_000).select(F.lit("hot").alias("k"), (F.col("id") * F.col("id")).alias("o"))
+    rest = spark.range(2000).select(F.when(F.col("id") % 2 == 0, "small").alias("k"), F.col("id").alias("o"))
+    blocks = matching.order_blocks(hot.union(rest), "k", "o", ["hot"], 20).groupBy("k", "_block").count().collect()
+    sizes = {name: [r["count"] for r in blocks if r["k"] == name] for name in ("hot", "small", None)}
+    assert len(sizes["hot"]) == 20 and max(sizes["hot"]) < 2 * 10_000 / 20
+    assert sizes["small"] == [1000]
+    assert len(sizes[None]) == 20 and max(sizes[None]) < 150
 
 
 def test_order_blocks_of_an_empty_table(spark):
