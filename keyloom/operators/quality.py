@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keyloom.functions.text import is_blank
 
@@ -96,11 +97,18 @@ def require(df: DataFrame, expected: Expectations) -> None:
         raise CheckFailed([tuple(r) for r in found])
 
 
+def _filled(df: DataFrame, column: str) -> Column:
+    """Only text can be blank; any other value fills its field."""
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return ~is_blank(column)
+    return F.col(column).isNotNull()
+
+
 def fill_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per column: rows, filled (neither NULL nor blank), empty and the filled percentage."""
     columns = list(df.columns if columns is None else columns)
     counts = df.agg(
-        F.count("*").alias("_rows"), *[F.count_if(~is_blank(c)).alias(f"_{i}") for i, c in enumerate(columns)]
+        F.count("*").alias("_rows"), *[F.count_if(_filled(df, c)).alias(f"_{i}") for i, c in enumerate(columns)]
     )
     per_column = F.array(
         *[F.struct(F.lit(c).alias("column"), F.col(f"_{i}").alias("filled")) for i, c in enumerate(columns)]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from keyloom.functions.dates import FISCAL_START_MONTH
 from keyloom.operators.matching import skew_join
+from keyloom.session import broadcast_limit, estimated_bytes
 
 # Price per colour page and per grayscale page.
 COLOR_PRICE = "4.82"
@@ -31,18 +32,28 @@ def monthly_usage(
 ) -> DataFrame:
     """Pages and costs per user attributes, log attributes and month.
 
-    ``log`` and ``users`` share the column ``user_key``; users are unique on it. The log is summed per
-    user and month before the join, so a user with a third of the log arrives as one row per month,
-    and the sums are summed again per user attributes. A row where either page count is NULL adds
-    nothing to the total of both.
+    ``log`` and ``users`` share the column ``user_key``; users are unique on it. If the users fit a
+    broadcast, the log meets them unshuffled and is summed once. Otherwise it is summed per user and
+    month before the join, so a user with a third of the log arrives as one row per month. A row where
+    either page count is NULL adds nothing to the total of both.
     """
     year, month = "usage_calendar_year", "usage_calendar_month"
+    sums = ("_color", "_gray", "_both")
     gray = F.col(total) - F.col(color)
-    per_user = log.groupBy(user_key, *log_keys, F.year(day).alias(year), F.month(day).alias(month)).agg(
-        F.sum(color).alias("_color"), F.sum(gray).alias("_gray"), F.sum(F.col(color) + gray).alias("_both")
+    dated = log.select(
+        user_key,
+        *log_keys,
+        F.year(day).alias(year),
+        F.month(day).alias(month),
+        F.col(color).alias("_color"),
+        gray.alias("_gray"),
+        (F.col(color) + gray).alias("_both"),
     )
-    named = skew_join(per_user, users.select(user_key, *user_keys), user_key, "inner")
-    sums = named.groupBy(*user_keys, *log_keys, year, month).agg(
+    users = users.select(user_key, *user_keys)
+    if estimated_bytes(users) > broadcast_limit(log.sparkSession):
+        dated = dated.groupBy(user_key, *log_keys, year, month).agg(*[F.sum(c).alias(c) for c in sums])
+    named = skew_join(dated, users, user_key, "inner")
+    pages = named.groupBy(*user_keys, *log_keys, year, month).agg(
         F.sum("_color").alias("total_color_pages"),
         F.sum("_gray").alias("total_grayscale_pages"),
         F.sum("_both").alias("total_pages"),
@@ -50,7 +61,7 @@ def monthly_usage(
     color_cost = F.col("total_color_pages") * price(COLOR_PRICE)
     gray_cost = F.col("total_grayscale_pages") * price(GRAY_PRICE)
     in_new_year = F.col(month) >= FISCAL_START_MONTH
-    return sums.select(
+    return pages.select(
         *user_keys,
         *log_keys,
         "total_color_pages",

@@ -25,6 +25,7 @@ from keyloom.plans.fixed_values import REGISTRATION_TYPES
 from keyloom.plans.star.aggregates import PROFILED_SQL, READY_SQL, USAGE_SQL, _profiled, usage
 from keyloom.plans.star.aggregates import ready as readiness_row
 from keyloom.plans.star.registry import query
+from keyloom.session import materialize
 from keyloom.sources.snapshots import blank_values_to_null, refresh_counts
 
 CUTOFF = "1996-01-01"
@@ -306,7 +307,7 @@ INSERT_KEYS_SQL = """
 
 
 def _insert_sides(t):
-    source = usage(t).select(
+    rows = usage(t).select(
         "user_name",
         F.nullif(F.col("job_type"), F.lit("N")).alias("job_type"),
         F.col("usage_calendar_year").alias("y"),
@@ -315,6 +316,8 @@ def _insert_sides(t):
         F.col("usage_budget_month_order").alias("fm"),
         F.col("total_pages").alias("pages"),
     )
+    # Both sides read the rollup: it is written once instead of being computed for each.
+    source = materialize(rows, "usage")
     keys = ["user_name", "job_type", "y", "m", "fy", "fm"]
     loaded = source.filter(F.col("y") * 12 + F.col("m") < 1999 * 12 + 4)
     target = loaded.select(*keys).distinct().withColumn("pages", F.lit(0).cast("decimal(38,2)"))
