@@ -24,7 +24,9 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "keyloom") -> SparkSession:
+def local_session(
+    cores: str = "*", shuffle_partitions: int = 8, app: str = "keyloom", **settings: str
+) -> SparkSession:
     """A single-machine session for tests and the benchmark."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -35,6 +37,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "key
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
     )
+    for name, value in settings.items():
+        builder = builder.config(name, value)
     spark = tune(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark

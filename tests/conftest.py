@@ -11,7 +11,7 @@ from keyloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session("8", shuffle_partitions=4, app="keyloom-tests")
+    session = local_session("8", shuffle_partitions=4, app="keyloom-tests", **{"spark.default.parallelism": "2"})
     yield session
     session.stop()
 

@@ -1,5 +1,7 @@
 """Readers, the keyed table, snapshots, the audit log, hand-over tables and streams."""
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -161,13 +163,14 @@ def test_audit_log_and_hand_over(spark, folder):
 
 def test_streams_load_new_files_once(spark, folder):
     schema = spark.createDataFrame([], "k string, a string, at int").schema
+    run = uuid.uuid4().hex  # a stream's name stands for its progress
     table = KeyedTable(spark, f"{folder}/t", ["k"], buckets=2)
     facts = KeyedTable(spark, f"{folder}/f", ["k"], buckets=2)
 
     def arrive(rows):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-        drain_upserts(spark, f"{folder}/in", schema, f"u-{folder.split('/')[-1]}", table, exact("k"), [F.col("at").desc()])
-        drain_inserts(spark, f"{folder}/in", schema, f"i-{folder.split('/')[-1]}", facts, ["k"])
+        drain_upserts(spark, f"{folder}/in", schema, f"u-{run}", table, exact("k"), [F.col("at").desc()])
+        drain_inserts(spark, f"{folder}/in", schema, f"i-{run}", facts, ["k"])
 
     arrive([("1", "old", 1), ("1", "new", 2), ("2", "x", 1)])
     arrive([("2", "y", 3), ("3", "z", 3)])
