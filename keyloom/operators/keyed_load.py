@@ -236,10 +236,18 @@ def apply_changes(target: DataFrame, delta: DataFrame, rule: LoadRule) -> DataFr
     return target.join(updated, list(rule.keys), "left_anti").select(*target.columns).unionAll(written)
 
 
+def load_measures(rule: LoadRule) -> list[Column]:
+    """Aggregates over a change set: inserted and updated rows.
+
+    A guarded load counts an update only if its change map has entries.
+    """
+    updated = (F.col("_op") == "UPDATE") & (F.lit(rule.audit_empty_counts) | (F.size("changes") > 0))
+    return [F.count_if(F.col("_op") == "INSERT").alias("inserted"), F.count_if(updated).alias("updated")]
+
+
 def load_counts(delta: DataFrame, rule: LoadRule) -> DataFrame:
-    """One row: inserted and updated. A guarded load counts an update only if its change map has entries."""
-    counts = (F.col("_op") == "UPDATE") & (F.lit(rule.audit_empty_counts) | (F.size("changes") > 0))
-    return delta.agg(F.count_if(F.col("_op") == "INSERT").alias("inserted"), F.count_if(counts).alias("updated"))
+    """One row: inserted and updated."""
+    return delta.agg(*load_measures(rule))
 
 
 def change_rows(delta: DataFrame, key: str) -> DataFrame:

@@ -13,7 +13,7 @@ import json
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,7 @@ from keyloom.operators.keyed_load import (
     apply_changes,
     change_set,
     insert_only,
-    load_counts,
+    load_measures,
     usable_source,
 )
 from keyloom.session import materialize
@@ -60,22 +60,26 @@ class KeyedTable:
         self.spark, self.keys, self.buckets, self.text_keys = spark, list(keys), buckets, text_keys
         self.rows_path = f"{path.rstrip('/')}/rows"
         self.schema_path = f"{path.rstrip('/')}/schema"
+        self._known: T.StructType | None = None
 
     def _schemas(self) -> DataFrame:
         return self.spark.read.schema("seq long, fields string").json(self.schema_path)
 
     def schema(self) -> T.StructType | None:
         """The newest logged schema; None if the table does not exist yet."""
-        try:
-            newest = self._schemas().orderBy(F.col("seq").desc()).first()
-        except AnalysisException:
-            return None
-        return T.StructType.fromJson(json.loads(newest["fields"])) if newest else None
+        if self._known is None:
+            try:
+                newest = self._schemas().orderBy(F.col("seq").desc()).first()
+            except AnalysisException:
+                return None
+            self._known = T.StructType.fromJson(json.loads(newest["fields"])) if newest else None
+        return self._known
 
     def _set_schema(self, schema: T.StructType) -> None:
         seq = 0 if self.schema() is None else self._schemas().count()
         line = self.spark.createDataFrame([(seq, schema.json())], "seq long, fields string")
         line.write.mode("append").json(self.schema_path)
+        self._known = schema
 
     def exists(self) -> bool:
         return self.schema() is not None
@@ -139,6 +143,10 @@ class KeyedTable:
         """At most ``buckets`` small numbers."""
         return [r[0] for r in df.select(BUCKET).distinct().collect()]
 
+    def _per_bucket(self, df: DataFrame, *measures: Column) -> dict[int, Row]:
+        """One small row per bucket that occurs."""
+        return {r[BUCKET]: r for r in df.groupBy(BUCKET).agg(*measures).collect()}
+
     def load(self, source: DataFrame, rule: LoadRule) -> LoadResult:
         """Upsert ``source``; columns the table lacks are added, as text for a guarded load."""
         fields = text_schema(source, rule.keys[0]) if rule.compare == "guarded" else source.schema
@@ -148,20 +156,24 @@ class KeyedTable:
         s_keys = [source_of[k] for k in rule.keys]
         usable = usable_source(source, LoadRule(tuple(s_keys), trim_key=rule.trim_key))
         staged = materialize(self._bucket_of(usable, s_keys), "source")
-        rows_total = staged.count()
-        require_unique(staged, s_keys)
-        near = target.filter(F.col(BUCKET).isin(self._buckets_in(staged)))
-        delta = materialize(change_set(near.drop(BUCKET), staged.drop(BUCKET), rule), "changes")
-        self._rewrite(near, delta, rule)
-        counts = load_counts(delta, rule).first()
-        return LoadResult(counts["inserted"], counts["updated"], rows_total, delta)
-
-    def _rewrite(self, near: DataFrame, delta: DataFrame, rule: LoadRule) -> None:
-        changed = self._buckets_in(self._bucket_of(delta, self.keys))
-        if not changed:
-            return
-        before = near.filter(F.col(BUCKET).isin(changed)).drop(BUCKET)
-        self._write(self._bucket_of(apply_changes(before, delta, rule), self.keys), "overwrite")
+        per_key = staged.groupBy(BUCKET, *s_keys).agg(F.count("*").alias("n"))
+        arriving = self._per_bucket(per_key, F.sum("n").alias("rows"), F.max("n").alias("most"))
+        if any(b["most"] > 1 for b in arriving.values()):
+            require_unique(staged, s_keys)
+        near = target.filter(F.col(BUCKET).isin(list(arriving)))
+        changed = change_set(near.drop(BUCKET), staged.drop(BUCKET), rule)
+        delta = materialize(self._bucket_of(changed, self.keys), "changes")
+        written = self._per_bucket(delta, *load_measures(rule))
+        delta = delta.drop(BUCKET)
+        if written:
+            before = near.filter(F.col(BUCKET).isin(list(written))).drop(BUCKET)
+            self._write(self._bucket_of(apply_changes(before, delta, rule), self.keys), "overwrite")
+        return LoadResult(
+            sum(b["inserted"] for b in written.values()),
+            sum(b["updated"] for b in written.values()),
+            sum(b["rows"] for b in arriving.values()),
+            delta,
+        )
 
     def append_new(self, source: DataFrame, keys: list[str] | None = None) -> LoadResult:
         """Insert-only load: append source rows whose key the table lacks."""

@@ -45,9 +45,8 @@ def rows_of(columns, rows):
     return [columns[i] for i in order], sorted(tuple(plain(r[i]) for i in order) for r in rows)
 
 
-def compare(spark, con, name, build, sql, folder):
-    """(ok, message) for one query."""
-    df = build(spark, folder)
+def compare(con, df, sql):
+    """(ok, message) for one query's result."""
     got_columns, got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     result = con.execute(sql)
     want_columns, want = rows_of([d[0] for d in result.description], result.fetchall())
@@ -70,7 +69,7 @@ def main() -> int:
     for name in names:
         start = time.time()
         try:
-            ok, message = compare(spark, con, name, QUERIES[name], ORACLE[name], folder)
+            ok, message = compare(con, QUERIES[name](spark, folder), ORACLE[name])
         except Exception as error:  # report every query, then fail
             ok, message = False, f"{type(error).__name__}: {str(error)[:600]}"
         failed += not ok

@@ -12,7 +12,7 @@ from keyloom.operators import keyed_load as load
 
 VALUES = st.sampled_from([None, "", "  ", "\u00a0\t", "Ab", " ab\t", "AB\u00a0", "x", "other"])
 SIDE = st.dictionaries(st.sampled_from("123456"), st.tuples(VALUES, VALUES), max_size=6)
-RELAXED = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+RELAXED = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def clean(v):
