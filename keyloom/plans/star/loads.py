@@ -509,29 +509,28 @@ SETTLEMENT_SQL = f"""
                     year(o_orderdate) AS y, CASE WHEN month(o_orderdate) > 6 THEN 2 ELSE 1 END AS n FROM orders),
          item AS (SELECT l_orderkey AS id, CASE l_returnflag WHEN 'R' THEN 'Lump sum fee' WHEN 'N' THEN 'Tuition' END AS name FROM lineitem),
          receipt AS (SELECT l_orderkey AS id FROM lineitem WHERE l_linestatus = 'F' AND l_quantity >= 40),
-         base AS (
-           SELECT inv.*, term.y, term.n, c_name, item.name, receipt.id AS rid,
-                  nxt.amount AS na, nxt.total AS nt, nxt.updated AS nu,
-                  inv.total = 0 AND nxt.amount < 0 AND nxt.total < 0 AND abs(inv.amount) > abs(nxt.total) AS settled,
-                  term.y = 1997 AND term.n = 1 AND item.name LIKE 'Lump sum%' AS lump
-           FROM inv JOIN term ON term.id = inv.term JOIN customer ON c_custkey = inv.student
-           LEFT JOIN item ON item.id = inv.id LEFT JOIN receipt ON receipt.id = inv.id
-           LEFT JOIN LATERAL (SELECT i.amount, i.total, i.updated FROM inv i WHERE i.student = inv.student AND i.id > inv.id
-                              AND i.total < 0 AND i.amount < 0 AND i.active AND NOT i.cancelled ORDER BY i.id LIMIT 1) nxt ON true
-           WHERE inv.active AND NOT inv.cancelled AND NOT (inv.total = 0 AND NOT inv.paid) AND NOT inv.number = '77'),
-         ranked AS (
-           SELECT CAST(id AS VARCHAR) AS "invoiceId", CAST(y AS VARCHAR) AS "acaYear", n AS semester, number AS "invoiceNo",
-                  CASE WHEN type = 'r' THEN 'N' WHEN type IN ('a', 'cr') THEN 'A' WHEN type = 'au' THEN 'E' END AS "regisType",
-                  CASE WHEN settled THEN amount ELSE total END AS "invoiceAmount",
-                  strftime(CASE WHEN settled THEN nu WHEN rid IS NOT NULL AND paid THEN updated WHEN lump THEN updated
-                                WHEN number = '42' THEN updated END, '%Y-%m-%d %H:%M:%S') AS "paidDate",
-                  CASE WHEN settled OR rid IS NOT NULL THEN CASE WHEN total = 0 THEN amount ELSE total END
-                       WHEN lump THEN total WHEN number = '42' THEN total ELSE 0.00 END AS "paidAmount",
-                  CASE WHEN settled OR rid IS NOT NULL THEN 'Y' WHEN lump THEN 'Y' WHEN number = '42' THEN 'Y' ELSE 'N' END AS "paidStatus",
-                  CASE WHEN name LIKE 'Lump sum%' THEN '{LUMP_SUM_TYPE}' ELSE '{CREDIT_TYPE}' END AS "invoiceType",
-                  CAST(NULL AS VARCHAR) AS "schNameTh", CAST(NULL AS VARCHAR) AS remark, c_name AS "studentCode",
-                  row_number() OVER (PARTITION BY id ORDER BY CASE WHEN name LIKE 'Lump sum%' THEN 1 ELSE 0 END) AS rn FROM base)
-    SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1 AND "invoiceAmount" > 0
+         kinds AS (SELECT id, bool_and(coalesce(starts_with(name, 'Lump sum'), false)) AS all_lump FROM item GROUP BY 1),
+         live AS (SELECT * FROM inv WHERE active AND NOT cancelled),
+         credit AS (SELECT a.id, min(b.id) AS credit_id FROM live a JOIN live b ON b.student = a.student AND b.id > a.id
+                    WHERE b.total < 0 AND b.amount < 0 GROUP BY 1),
+         facts AS (
+           SELECT a.id, a.number, a.type, a.amount, a.total, a.updated, a.paid, term.y, term.n, c_name AS code,
+                  coalesce(k.all_lump, false) AS lump, b.updated AS credit_updated,
+                  EXISTS (SELECT 1 FROM receipt WHERE receipt.id = a.id) AS received,
+                  coalesce(a.total = 0 AND abs(a.amount) > abs(b.total), false) AS settled
+           FROM live a JOIN term ON term.id = a.term JOIN customer ON c_custkey = a.student
+           LEFT JOIN kinds k ON k.id = a.id LEFT JOIN credit ON credit.id = a.id LEFT JOIN live b ON b.id = credit.credit_id
+           WHERE (a.total <> 0 OR a.paid) AND a.number <> '77'),
+         ways AS (SELECT *, (lump AND y = 1997 AND n = 1) OR number = '42' AS waived FROM facts)
+    SELECT CAST(id AS VARCHAR) AS "invoiceId", CAST(y AS VARCHAR) AS "acaYear", n AS semester, number AS "invoiceNo",
+           map_extract(map {{'r': 'N', 'a': 'A', 'cr': 'A', 'au': 'E'}}, type)[1] AS "regisType",
+           if(settled, amount, total) AS "invoiceAmount",
+           strftime(if(settled, credit_updated, if((received AND paid) OR waived, updated, NULL)), '%Y-%m-%d %H:%M:%S') AS "paidDate",
+           if(settled OR received, if(total = 0, amount, total), if(waived, total, 0.00)) AS "paidAmount",
+           if(settled OR received OR waived, 'Y', 'N') AS "paidStatus",
+           if(lump, '{LUMP_SUM_TYPE}', '{CREDIT_TYPE}') AS "invoiceType",
+           CAST(NULL AS VARCHAR) AS "schNameTh", CAST(NULL AS VARCHAR) AS remark, code AS "studentCode"
+    FROM ways WHERE if(settled, amount, total) > 0
 """
 
 

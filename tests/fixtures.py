@@ -30,7 +30,7 @@ def student_tables(spark):
             "StudentId long, CurriculumVersionId long, IsActive boolean",
         ),
         "curriculum_versions": frame([(10, 100, "Computer Science"), (20, 200, "Guest")], "Id long, CurriculumId long, NameEn string"),
-        "curricula": frame([(100, "ICCS"), (200, "DTDS")], "Id long, AbbreviationEn string"),
+        "curricula": frame([(100, "ABCD"), (200, "DTDS")], "Id long, AbbreviationEn string"),
         "academic_infos": frame(
             [(1, Decimal("36.5")), (2, Decimal("106")), (3, Decimal("70"))], "StudentId long, CreditEarned decimal(6,2)"
         ),
@@ -47,7 +47,7 @@ def student_tables(spark):
         "resident_types": frame([(1, "Resident"), (2, "Non")], "Id int, NameEn string"),
         "admission_types": frame([(1, "ปกติ"), (3, "แลกเปลี่ยน"), (7, "ฤดูร้อน")], "Id int, NameTh string"),
         "majors": frame(
-            [(1, "ICCS", "Old name", "D1", "Old"), (2, "ICCS", "Computer Science", "D2", "Science"), (3, None, "x", "x", "x")],
+            [(1, "ABCD", "Old name", "D1", "Old"), (2, "ABCD", "Computer Science", "D2", "Science"), (3, None, "x", "x", "x")],
             "Id long, Major string, NameEn string, Division string, DivisionName string",
         ),
     }

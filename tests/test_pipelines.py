@@ -35,7 +35,7 @@ def test_student_master_rows(spark, tables):
     assert set(rows) == {"6380001", "6380002", "6480003", "638 0004", "63A0006"}
     a, b, c, d = (rows[k] for k in ("6380001", "6380002", "6480003", "638 0004"))
     assert (a["prefixCode"], a["prefix"], a["genderName"], a["residentType"]) == ("002", "Mrs.", "female", "resident")
-    assert (a["firstNameTh"], a["firstNameEn"], a["programCode"], a["studentStatusName"]) == ("สมหญิง", "SOMYING", "ICCS-001-B", "studying")
+    assert (a["firstNameTh"], a["firstNameEn"], a["programCode"], a["studentStatusName"]) == ("สมหญิง", "SOMYING", "ABCD-001-B", "studying")
     assert (a["birthdate"], a["class"], a["citizenId"], a["passportId"], a["graduateYear"]) == ("01/02/2543", 1, "110", None, None)
     assert (b["prefixCode"], b["prefix"], b["genderName"]) == ("003", "Ms.", "female")
     assert (b["firstNameTh"], b["middleNameTh"], b["lastNameTh"]) == ("MARY ANN", "", "O'HARA")
@@ -156,7 +156,7 @@ def test_invoice_cleaning_and_checks(spark):
 
 def test_student_dimension(spark, tables, folder):
     master = spark.createDataFrame(
-        [("6380001", "ICCS-001-B"), ("6380002", None), ("6380002", " "), ("6480003", "XXXX-001-B")], "studentCode string, programCode string"
+        [("6380001", "ABCD-001-B"), ("6380002", None), ("6380002", " "), ("6480003", "XXXX-001-B")], "studentCode string, programCode string"
     )
     tables = {**tables, "student_master": master}
     built = student_dim.build(tables)
@@ -166,7 +166,7 @@ def test_student_dimension(spark, tables, folder):
     a, c = rows["6380001"], rows["6480003"]
     assert (a["title"], a["first_name_en"], a["middle_name_en"], a["gender"], a["nationality"]) == ("Mrs.", "Somying", None, "female", "Thai")
     assert (a["major_code"], a["major_name"], a["division"], a["student_type"], a["admission_type"]) == (
-        "ICCS",
+        "ABCD",
         "Computer Science",
         "D2",
         "Full-time",
