@@ -56,6 +56,8 @@ def usable_key(key: str, digits_only: bool = False) -> Column:
 
 
 class KeyedTable:
+    """``keys`` set the buckets; ``text_keys`` hashes their trimmed text, for loads that trim keys."""
+
     def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 64, text_keys: bool = False):
         self.spark, self.keys, self.buckets, self.text_keys = spark, list(keys), buckets, text_keys
         self.rows_path = f"{path.rstrip('/')}/rows"
@@ -92,8 +94,12 @@ class KeyedTable:
         return self._stored().drop(BUCKET)
 
     def _bucket_of(self, df: DataFrame, keys: list[str]) -> DataFrame:
-        # NULL keys of an insert-only table hash like any other value.
-        parts = [F.trim(F.col(k).cast("string")) if self.text_keys else F.col(k) for k in keys]
+        # Keys hash in the table's types; NULL keys of an insert-only table hash like any other value.
+        types = {f.name.lower(): f.dataType for f in self.schema() or df.schema}
+        parts = [
+            F.trim(F.col(k).cast("string")) if self.text_keys else F.col(k).cast(types[own.lower()])
+            for k, own in zip(keys, self.keys, strict=True)
+        ]
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(*parts), F.lit(self.buckets)).cast("int"))
 
     def _write(self, df: DataFrame, mode: str) -> None:
@@ -116,6 +122,8 @@ class KeyedTable:
 
     def fill(self, df: DataFrame) -> None:
         """First fill of a new table."""
+        if self.exists():
+            raise ValueError(f"{self.rows_path} has been filled")
         self.ensure(df.schema)
         self._write(self._bucket_of(df, self.keys), "append")
 
@@ -149,6 +157,10 @@ class KeyedTable:
 
     def load(self, source: DataFrame, rule: LoadRule) -> LoadResult:
         """Upsert ``source``; columns the table lacks are added, as text for a guarded load."""
+        if [k.lower() for k in rule.keys] != [k.lower() for k in self.keys]:
+            raise ValueError(f"the table is bucketed by {self.keys}, not by {list(rule.keys)}")
+        if rule.trim_key and not self.text_keys:
+            raise ValueError("a load with trimmed keys needs a table with text_keys=True")
         fields = text_schema(source, rule.keys[0]) if rule.compare == "guarded" else source.schema
         self.ensure(T.StructType([f for f in fields if f.name not in rule.ignore]))
         target = self._stored()
@@ -176,9 +188,14 @@ class KeyedTable:
         )
 
     def append_new(self, source: DataFrame, keys: list[str] | None = None) -> LoadResult:
-        """Insert-only load: append source rows whose key the table lacks."""
-        self.ensure(source.schema)
+        """Insert-only load: append source rows whose key the table lacks.
+
+        The table's bucket columns must be part of the key, so that equal keys share a bucket.
+        """
         keys = list(source.columns if keys is None else keys)
+        if not {k.lower() for k in self.keys} <= {k.lower() for k in keys}:
+            raise ValueError(f"the table is bucketed by {self.keys}, which {keys} does not include")
+        self.ensure(source.schema)
         staged = materialize(self._bucket_of(source, self.keys), "source")
         near = self._stored().filter(F.col(BUCKET).isin(self._buckets_in(staged)))
         fresh = materialize(insert_only(near.drop(BUCKET), staged.drop(BUCKET), keys), "new-rows")

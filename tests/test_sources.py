@@ -100,6 +100,26 @@ def test_keyed_table_refuses_repeated_keys(spark, folder):
         table.load(source(spark, [("1", "a"), ("1", "b")]), exact("k"))
 
 
+def test_keyed_table_guards_its_buckets(spark, folder):
+    table = KeyedTable(spark, f"{folder}/t", ["k"], buckets=4)
+    with pytest.raises(ValueError, match="text_keys"):
+        table.load(source(spark, [("1", "a")]), guarded("k"))
+    with pytest.raises(ValueError, match="bucketed by"):
+        table.load(source(spark, [("1", "a")]), exact("a"))
+    with pytest.raises(ValueError, match="bucketed by"):
+        table.append_new(source(spark, [("1", "a")]), ["a"])
+    table.fill(source(spark, [("1", "a"), ("2", "b")]))
+    with pytest.raises(ValueError, match="has been filled"):
+        table.fill(source(spark, [("3", "c")]))
+    # A key of another type finds the row of the table's type.
+    numbers = source(spark, [(1, "x"), (3, "z")], "k int, a string")
+    result = table.load(numbers, exact("k"))
+    assert (result.inserted, result.updated) == (1, 1)
+    assert content(table) == [("1", "x"), ("2", "b"), ("3", "z")]
+    nothing = table.load(source(spark, []), exact("k"))
+    assert (nothing.inserted, nothing.updated, nothing.rows_total) == (0, 0, 0)
+
+
 def test_keyed_table_purges_bad_keys(spark, folder):
     table = KeyedTable(spark, f"{folder}/t", ["k"], buckets=3)
     table.fill(source(spark, [("1", "a"), ("2", "b"), (" ", "c"), (None, "d"), ("x7", "e")]))
