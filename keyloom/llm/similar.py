@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import byte_blocks, free_name, mix64, numbered, quoted, utf8, written
+from keyloom.llm.common import bucketed, byte_blocks, free_name, mix64, numbered, quoted, utf8, written
 
 SHINGLE, PERCENT = 5, 75
 #: Sets below ``SMALL`` have a segment per shingle; bands above grow by ``BAND``.
@@ -126,13 +126,13 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-KEYS = "key long, node long"
+KEYS = "key long, node long, sketch array<long>"
 #: In place of a key, an odd number holds a node's set size and how many hot keys it may drop.
 SPARE_BITS, TOO_FEW = 20, (1 << 20) - 1
 
 
 def keys_of(docs: DataFrame, text: str, by_shingle: bool) -> DataFrame:
-    """(key, node): the keys of every text, and one odd number per text that holds its size.
+    """(key, node, sketch): the keys of every text, and one odd number per text that holds its size, with its sketch.
 
     Repeats of a text inside a batch are skipped, so that copies do not multiply the keys.
     """
@@ -144,18 +144,28 @@ def keys_of(docs: DataFrame, text: str, by_shingle: bool) -> DataFrame:
             batch = batch.take(pa.array(firsts))
             nodes = batch.column("node").to_numpy()
             for first, end, data, offsets in byte_blocks(batch.column("bytes")):
-                keys, owner = [], []
-                for node, own in zip(nodes[first:end].tolist(), shingle_sets(data, offsets), strict=True):
-                    n, most, free = len(own), difference(len(own)), spare(len(own))
+                keys, counts, sketches = [], [], []
+                for own in shingle_sets(data, offsets):
+                    n, most, free, held = len(own), difference(len(own)), spare(len(own)), 1
                     for band in bands(n) if n else []:
                         found = segment_keys(own, band, by_shingle)
                         free = min(free, len(found) - most - 1)
                         keys.append(found[: most + 1 + spare(n)].view(np.int64))
+                        held += len(keys[-1])
                     keys.append(np.array([(n << SPARE_BITS | (TOO_FEW if free < 0 else min(free, TOO_FEW - 1))) << 1 | 1]))
-                    owner.append((node, sum(map(len, keys[len(keys) - (len(bands(n)) if n else 0) - 1 :]))))
+                    counts.append(held)
+                    sketches.append(sketch(own))
+                last = np.cumsum(counts) - 1
+                sized = np.zeros(last[-1] + 1, bool)
+                sized[last] = True
+                places = np.concatenate(([0], np.cumsum(np.where(sized, BITS // 64, 0)))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), pa.array(np.repeat([o[0] for o in owner], [o[1] for o in owner]), pa.int64())],
-                    ["key", "node"],
+                    [
+                        pa.array(np.concatenate(keys)),
+                        pa.array(np.repeat(nodes[first:end], counts), pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(places), pa.array(np.concatenate(sketches)), mask=pa.array(~sized)),
+                    ],
+                    ["key", "node", "sketch"],
                 )
 
     return docs.select(node(text), utf8(text).alias("bytes")).mapInArrow(run, KEYS)
@@ -172,21 +182,32 @@ def node_of(digest: Column) -> Column:
 
 
 def groups(docs: DataFrame, text: str, by_shingle: bool) -> DataFrame:
-    """(key, node, lowest): rows of keys that several nodes share, and the sizes' rows; written."""
+    """(key, node, sketch, hot): rows of keys that several nodes share, and the sizes' rows; written."""
     rows = keys_of(docs, text, by_shingle)
     size_row = F.col("key").bitwiseAND(F.lit(1)) == 1
     apart = rows.withColumn("_of", F.when(size_row, F.col("node")).otherwise(0))
     whole = Window.partitionBy("key", "_of")
-    seen = apart.withColumn("lowest", F.min("node").over(whole)).withColumn("_high", F.max("node").over(whole)).withColumn("_n", F.count("*").over(whole))
-    kept = seen.filter((F.col("_of") != 0) | size_row | (F.col("lowest") != F.col("_high")))
-    return written(kept.select("key", "node", "lowest", (F.col("_n") > HOT).alias("hot")), "groups")
+    seen = apart.select("*", F.min("node").over(whole).alias("_low"), F.max("node").over(whole).alias("_high"), F.count("*").over(whole).alias("_n"))
+    kept = seen.filter(size_row | (F.col("_low") != F.col("_high")))
+    return written(kept.select("key", "node", "sketch", (F.col("_n") > HOT).alias("hot")), "groups")
+
+
+SETS = "node long, shingles array<long>"
+#: Bits of the filter that spares most other texts the shuffle: 64 in each of so many broadcast rows.
+FILTER_ROWS = 1 << 18
 
 
-SETS = "node long, n long, shingles array<long>, sketch array<long>"
+def only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose node may be wanted: a filter of fixed size, so the broadcast is bounded. Others may slip through."""
+    spot = F.pmod(F.xxhash64("node"), F.lit(FILTER_ROWS * 64))
+    mark = F.expr("shiftleft(1L, int(_spot % 64))")
+    bits = wanted.select(spot.alias("_spot")).groupBy(F.shiftright("_spot", 6).alias("_row")).agg(F.bit_or(mark).alias("_bits"))
+    spotted = docs.withColumn("_spot", spot).withColumn("_row", F.shiftright("_spot", 6))
+    return spotted.join(F.broadcast(bits), "_row").filter(F.col("_bits").bitwiseAND(mark) != 0).select(*docs.columns)
 
 
 def sets_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
-    """The shingle sets of the wanted nodes, each once; written."""
+    """The shingle sets of the wanted nodes, each once, bucketed by node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -194,18 +215,13 @@ def sets_of(docs: DataFrame, text: str, wanted: DataFrame) -> DataFrame:
             for first, end, data, offsets in byte_blocks(batch.column("bytes")):
                 found = shingle_sets(data, offsets)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        nodes.slice(first, end - first),
-                        pa.array([len(s) for s in found], pa.int64()),
-                        pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64())),
-                        pa.array([sketch(s) for s in found], pa.list_(pa.int64())),
-                    ],
-                    ["node", "n", "shingles", "sketch"],
+                    [nodes.slice(first, end - first), pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], ["node", "shingles"]
                 )
 
-    texts = docs.select(node(text), utf8(text).alias("bytes")).join(wanted, "node", "left_semi")
+    wanted = written(wanted.distinct(), "wanted")
+    texts = only(docs.select(node(text), utf8(text).alias("bytes")), wanted).join(wanted, "node", "left_semi")
     once = texts.groupBy("node").agg(F.first("bytes").alias("bytes"))
-    return written(once.mapInArrow(run, SETS), "sets")
+    return bucketed(once.mapInArrow(run, SETS), "node", "sets")[0]
 
 
 def may_link(a: str, b: str) -> Column:
@@ -219,17 +235,31 @@ def may_link(a: str, b: str) -> Column:
     return sizes & (apart * (100 + PERCENT) <= (n + m) * (100 - PERCENT))
 
 
+def near(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches let through; written."""
+    small = sizes.select("node", F.struct("n", "sketch").alias("s"))
+    both = pairs.join(small.withColumnsRenamed({"node": "a", "s": "_x"}), "a").join(small.withColumnsRenamed({"node": "b", "s": "_y"}), "b")
+    return written(both.filter(may_link("_x", "_y")).select("a", "b"), "near")
+
+
+def nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link; written."""
-    small = sets.select("node", F.struct("n", "sketch").alias("s"))
-    near = pairs.join(small.withColumnsRenamed({"node": "a", "s": "_x"}), "a").join(small.withColumnsRenamed({"node": "b", "s": "_y"}), "b")
-    near = near.filter(may_link("_x", "_y")).select("a", "b")
+    """The pairs (a, b) whose sets are similar enough; written. Only the sets of b move."""
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_x"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_y"))
     both = F.size(F.array_intersect("_x", "_y"))
-    return written(
-        near.join(two, "b").join(one, "a").filter(both * 100 >= (F.size("_x") + F.size("_y") - both) * PERCENT).select("a", "b"), "links"
-    )
+    similar = both * 100 >= (F.size("_x") + F.size("_y") - both) * PERCENT
+    return written(pairs.join(two, "b").join(one, "a").filter(similar).select("a", "b"), "links")
+
+
+def apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """The pairs that are not in one component yet."""
+    one, two = label.select(F.col("node").alias("a"), F.col("component").alias("_x")), label.select(F.col("node").alias("b"), F.col("component").alias("_y"))
+    joined = pairs.join(one, "a", "left").join(two, "b", "left")
+    return joined.filter(F.coalesce("_x", "a") != F.coalesce("_y", "b")).select("a", "b")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -252,30 +282,39 @@ def node_components(docs: DataFrame, text: str = "text", by_shingle: bool = Fals
     rows = groups(docs, text, by_shingle)
     size_row = F.col("key").bitwiseAND(F.lit(1)) == 1
     held = F.shiftrightunsigned("key", 1)
-    sizes = rows.filter(size_row).select("node", F.shiftright(held, SPARE_BITS).alias("n"), held.bitwiseAND(F.lit(TOO_FEW)).alias("spare")).dropDuplicates(["node"])
+    sizes = rows.filter(size_row).dropDuplicates(["node"])
+    sizes = sizes.select("node", F.shiftright(held, SPARE_BITS).alias("n"), held.bitwiseAND(F.lit(TOO_FEW)).alias("spare"), "sketch")
+    sizes = written(sizes, "sizes")
     if not by_shingle and not sizes.filter(F.col("spare") == TOO_FEW).isEmpty():
         return node_components(docs, text, True)  # a set with too few segments: shingles as segments, for all
-    keys = rows.filter(~size_row).select("key", "node", "lowest", "hot").dropDuplicates(["key", "node"])
+    keys = rows.filter(~size_row).select("key", "node", "hot").dropDuplicates(["key", "node"])
     hot = keys.filter("hot").groupBy("node").agg(F.count("*").alias("_hot"))
     light = hot.join(sizes, "node").filter(F.col("_hot") <= F.col("spare")).select("node")
     kept = keys.filter("not hot").unionByName(keys.filter("hot").join(light, "node", "left_anti"))
-    kept = written(kept.select("key", "node", "lowest"), "kept_keys")
-    sets = sets_of(docs, text, kept.select("node").distinct())
+    kept = written(kept.select("key", "node"), "kept_keys")
     first = kept.groupBy("key").agg(F.min("node").alias("a"))
     stars = kept.select("key", F.col("node").alias("b")).join(first, "key").filter("a < b").select("a", "b").distinct()
-    links = verified(stars, sets)
+    stars = near(stars, sizes)
+    sets = sets_of(docs, text, nodes_of(stars))
+    # One pair per member first; the rest of its pairs only where that has not joined them already.
+    links = verified(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets)
     label = components(links)
+    others = written(apart(stars, label), "others")
+    if not others.isEmpty():
+        links = links.unionByName(verified(others, sets))
+        label = components(links)
     placed = kept.select("key", "node").join(label, "node", "left").withColumn("component", F.coalesce("component", "node"))
     split = placed.groupBy("key").agg(F.min("component").alias("_x"), F.max("component").alias("_y"), F.count("*").alias("_n"))
     split = written(split.filter("_x < _y and _n > 2").select("key"), "split_keys")
     if split.isEmpty():
         return sizes.select("node", "n"), label
-    open_rows = placed.join(split, "key").join(sets.select("node", F.struct("n", "sketch").alias("s")), "node")
+    open_rows = placed.join(split, "key").join(sizes.select("node", F.struct("n", "sketch").alias("s")), "node")
     open_rows = written(open_rows, "open_rows")
     left = open_rows.select("key", F.col("node").alias("a"), F.col("component").alias("_ca"), F.col("s").alias("_x"))
     right = open_rows.select("key", F.col("node").alias("b"), F.col("component").alias("_cb"), F.col("s").alias("_y"))
     cross = left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.col("_ca") != F.col("_cb")) & may_link("_x", "_y"))
-    more = verified(cross.select("a", "b").distinct(), sets)
+    cross = written(cross.select("a", "b").distinct(), "cross")
+    more = verified(cross, sets_of(docs, text, nodes_of(cross)))
     return sizes.select("node", "n"), label if more.isEmpty() else components(links.unionByName(more))
 
 
