@@ -19,7 +19,7 @@ Sets of similarity J or more differ in at most a third of either's size n (J = 0
    sketch of ``BITS`` bits (its Hamming distance is at most the symmetric difference, too), then exactly.
    That is linear in the group. What is verified is joined into components.
 4. Rest. Only in groups that still hold members of different components, pairs from different components are
-   compared, again by size and sketch inside the join, then exactly. Pairs within a component need no check,
+   compared, again by size and sketch inside the join, by their number of common keys, then exactly. Pairs within a component need no check,
    so large groups of near copies are never expanded into pairs, and no link between components is lost.
 
 Equal texts are one node (the upper 64 bits of their SHA-256; two texts that share them stop the job).
@@ -236,10 +236,16 @@ def may_link(a: str, b: str) -> Column:
 
 
 def near(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that sizes and sketches let through; written."""
-    small = sizes.select("node", F.struct("n", "sketch").alias("s"))
+    """The pairs (a, b) that sizes, sketches and the number of common keys (``shared``) let through; written."""
+    small = sizes.select("node", F.struct("n", "sketch", "spare", "hot").alias("s"))
     both = pairs.join(small.withColumnsRenamed({"node": "a", "s": "_x"}), "a").join(small.withColumnsRenamed({"node": "b", "s": "_y"}), "b")
-    return written(both.filter(may_link("_x", "_y")).select("a", "b"), "near")
+    return written(both.filter(may_link("_x", "_y") & (F.col("shared") >= least_shared("_x", "_y"))).select("a", "b"), "near")
+
+
+def least_shared(a: str, b: str) -> Column:
+    """How many keys a linked pair has in common at least, without the hot ones that either may have dropped."""
+    spare_ones = F.least(f"{a}.spare", f"{b}.spare") - F.least(f"{a}.hot", f"{b}.hot")
+    return F.greatest(spare_ones, F.lit(0)) + 1
 
 
 def nodes_of(pairs: DataFrame) -> DataFrame:
@@ -284,17 +290,17 @@ def node_components(docs: DataFrame, text: str = "text", by_shingle: bool = Fals
     held = F.shiftrightunsigned("key", 1)
     sizes = rows.filter(size_row).dropDuplicates(["node"])
     sizes = sizes.select("node", F.shiftright(held, SPARE_BITS).alias("n"), held.bitwiseAND(F.lit(TOO_FEW)).alias("spare"), "sketch")
-    sizes = written(sizes, "sizes")
     if not by_shingle and not sizes.filter(F.col("spare") == TOO_FEW).isEmpty():
         return node_components(docs, text, True)  # a set with too few segments: shingles as segments, for all
     keys = rows.filter(~size_row).select("key", "node", "hot").dropDuplicates(["key", "node"])
-    hot = keys.filter("hot").groupBy("node").agg(F.count("*").alias("_hot"))
-    light = hot.join(sizes, "node").filter(F.col("_hot") <= F.col("spare")).select("node")
+    hot = keys.filter("hot").groupBy("node").agg(F.count("*").alias("hot"))
+    sizes = written(sizes.join(hot, "node", "left").withColumn("hot", F.coalesce("hot", F.lit(0))), "sizes")
+    light = sizes.filter((F.col("hot") > 0) & (F.col("hot") <= F.col("spare"))).select("node")
     kept = keys.filter("not hot").unionByName(keys.filter("hot").join(light, "node", "left_anti"))
     kept = written(kept.select("key", "node"), "kept_keys")
     first = kept.groupBy("key").agg(F.min("node").alias("a"))
-    stars = kept.select("key", F.col("node").alias("b")).join(first, "key").filter("a < b").select("a", "b").distinct()
-    stars = near(stars, sizes)
+    stars = kept.select("key", F.col("node").alias("b")).join(first, "key").filter("a < b")
+    stars = near(stars.groupBy("a", "b").agg(F.count("*").alias("shared")), sizes)
     sets = sets_of(docs, text, nodes_of(stars))
     # One pair per member first; the rest of its pairs only where that has not joined them already.
     links = verified(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets)
@@ -313,7 +319,8 @@ def node_components(docs: DataFrame, text: str = "text", by_shingle: bool = Fals
     left = open_rows.select("key", F.col("node").alias("a"), F.col("component").alias("_ca"), F.col("s").alias("_x"))
     right = open_rows.select("key", F.col("node").alias("b"), F.col("component").alias("_cb"), F.col("s").alias("_y"))
     cross = left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.col("_ca") != F.col("_cb")) & may_link("_x", "_y"))
-    cross = written(cross.select("a", "b").distinct(), "cross")
+    # Members of different components have all their common keys in these groups.
+    cross = near(cross.groupBy("a", "b").agg(F.count("*").alias("shared")), sizes)
     more = verified(cross, sets_of(docs, text, nodes_of(cross)))
     return sizes.select("node", "n"), label if more.isEmpty() else components(links.unionByName(more))
 
