@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyloom.llm.common import quoted
+from keyloom.llm.common import quoted, written
 
 SHINGLE, WINDOW, STEP, CONTAINMENT = 3, 8, 4, 0.75
 #: The least similarity of a window that holds a shortest template (3 shingles), and how surely it is found.
@@ -85,6 +85,11 @@ def windows(hashes: Column, step: int, width: int = WINDOW) -> Column:
     return F.transform(starts, lambda s: F.struct(s.alias("start"), F.slice(hashes, s + 1, F.lit(width)).alias("hashes")))
 
 
+def once(value: Column) -> Column:
+    """The value, worked out once per row: a generator, which the optimizer does not copy into its uses."""
+    return F.explode_outer(F.array(value))
+
+
 def scan(docs: DataFrame, stated: DataFrame | None = None, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """(doc_id, text_key, license, containment, n_windows): licenses that a document states, and how completely."""
     spark = docs.sparkSession
@@ -96,8 +101,9 @@ def scan(docs: DataFrame, stated: DataFrame | None = None, text: str = "text", i
         shingles(F.col("tokens"), F.xxhash64).alias("hashes"),
     )
     full = F.filter(windows(F.col("hashes"), 1), lambda w: (w["start"] == 0) | (F.size(w["hashes"]) == WINDOW))
-    keys = known.select("license", "shingles", F.explode(full).alias("w"))
-    keys = keys.select("license", "shingles", F.explode(band_keys(F.col("w.hashes"))).alias("key")).dropDuplicates(["license", "key"])
+    known = written(known, "templates")
+    keys = known.select("license", "shingles", F.explode_outer(full).alias("w"))
+    keys = keys.select("license", "shingles", F.explode_outer(band_keys(F.col("w.hashes"))).alias("key")).dropDuplicates(["license", "key"])
     bound = known.agg(F.max(F.size("hashes")), F.array_distinct(F.flatten(F.collect_list("hashes"))), F.sum(F.size("hashes")))
     longest, any_shingle, total = bound.first()
     if (total or 0) * BANDS > MAX_TEMPLATE_KEYS:
@@ -106,9 +112,10 @@ def scan(docs: DataFrame, stated: DataFrame | None = None, text: str = "text", i
     any_of = F.array(*[F.lit(h) for h in sorted(any_shingle or [0])])
 
     split = docs.filter(F.length(quoted(text)) > 0).select(
-        quoted(id_column).alias("doc_id"), F.xxhash64(quoted(text)).alias("text_key"), words(quoted(text)).alias("tokens")
+        quoted(id_column).alias("doc_id"), F.xxhash64(quoted(text)).alias("text_key"), once(words(quoted(text))).alias("tokens")
     )
-    hashed = split.withColumn("hashes", shingles(F.col("tokens"), F.xxhash64)).filter(F.arrays_overlap("hashes", any_of))
+    hashed = split.select("*", once(shingles(F.col("tokens"), F.xxhash64)).alias("hashes"))
+    hashed = hashed.filter(F.arrays_overlap("hashes", any_of))
     some = F.filter(windows(F.col("hashes"), STEP), lambda w: F.arrays_overlap(w["hashes"], any_of))
     around = F.transform(
         some,
@@ -118,10 +125,11 @@ def scan(docs: DataFrame, stated: DataFrame | None = None, text: str = "text", i
             F.slice(F.col("tokens"), F.greatest(w["start"] - reach, F.lit(0)) + 1, F.lit(2 * reach + WINDOW + SHINGLE)).alias("near"),
         ),
     )
-    spots = hashed.select("doc_id", "text_key", F.explode(around).alias("w"))
-    spots = spots.select("doc_id", "text_key", "w.start", "w.near", F.explode(F.array_distinct(band_keys(F.col("w.hashes")))).alias("key"))
+    spots = hashed.select("doc_id", "text_key", F.explode_outer(around).alias("w")).filter("w is not null")
+    spots = spots.select("doc_id", "text_key", "w.start", "w.near", F.explode_outer(band_keys(F.col("w.hashes"))).alias("key"))
     met = spots.join(F.broadcast(keys), "key")  # bounded by MAX_TEMPLATE_KEYS
     found = F.size(F.array_intersect("shingles", shingles(F.col("near"), lambda s: F.concat_ws(" ", s)))) / F.size("shingles")
+    met = met.dropDuplicates(["doc_id", "text_key", "license", "start"])  # several bands
     met = met.withColumn("containment", found).filter(F.col("containment") >= CONTAINMENT)
     return met.groupBy("doc_id", "text_key", "license").agg(
         F.max("containment").alias("containment"), F.count_distinct("start").alias("n_windows")
