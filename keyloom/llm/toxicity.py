@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, VectorAssembler
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +26,11 @@ from pyspark.sql import functions as F
 from keyloom.llm.common import free_name, quoted, written
 
 MAX_LABELLED = 20_000
-FOLDS, ITERATIONS = 3, 15
+FOLDS, ITERATIONS = 3, 20
 #: Tasks of a training step; the sample is bounded.
 TRAIN_PARTS = 6
-#: At most so many words, the most frequent, are features; a word counts from this share of the sample's texts.
-FEATURES, LEAST_SHARE = 16_384, 0.004
+#: At most so many words are features; a word counts from so many texts of the sample.
+FEATURES, LEAST_TEXTS = 2048, 4
 #: Beginnings of words that are features beside the words.
 STEMS = (4, 5)
 #: The chain: a category and what it is in the label table.
@@ -48,12 +48,22 @@ def words(text: str) -> Column:
     return F.array_distinct(F.concat(whole, *stems))
 
 
-def vocabulary(texts: DataFrame, text: str) -> CountVectorizerModel:
-    """Words frequent enough to learn from; it doesn't look at labels."""
-    tokens = texts.select(words(text).alias("_tokens"))
-    least = max(2, int(texts.count() * LEAST_SHARE))
-    spoken = tokens.unionByName(texts.sparkSession.createDataFrame([([" "],)] * least, "_tokens array<string>"))  # never empty
-    return CountVectorizer(inputCol="_tokens", vocabSize=FEATURES, minDF=float(least), binary=True).fit(spoken)
+def vocabulary(rows: DataFrame, text: str, flags: Sequence[str]) -> CountVectorizerModel:
+    """The words that stand out in a category: more, or less, of its texts have them than chance explains."""
+    counted = rows.agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in flags]).first()
+    n = max(1, counted["n"])
+    spoken = rows.select(F.explode(words(text)).alias("word"), *flags).groupBy("word")
+    spoken = spoken.agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in flags]).filter(F.col("n") >= LEAST_TEXTS)
+    level = math.sqrt(2 * math.log(max(2, spoken.count())))  # what the best of so many unrelated words reaches
+    scores = []
+    for f in flags:
+        share = (counted[f] or 0) / n
+        expected = F.col("n") * share
+        spread = F.sqrt(expected * (1 - share) * (1 - F.col("n") / (n + 1)))
+        scores.append(F.when(spread > 0, F.abs(F.col(f) - expected) / spread).otherwise(0.0))
+    found = spoken.withColumn("z", F.greatest(*scores, F.lit(0.0))).filter(F.col("z") > level).orderBy(F.desc("z"), "word").limit(FEATURES)
+    chosen = [r["word"] for r in found.collect()] or [" "]  # at most FEATURES words
+    return CountVectorizerModel.from_vocabulary(chosen, inputCol="_tokens", outputCol="_counts").setBinary(True)
 
 
 def with_words(df: DataFrame, known: CountVectorizerModel, text: str, output: str) -> DataFrame:
@@ -112,11 +122,8 @@ def learn(df: DataFrame, name: str, inputs: Sequence[str]) -> Link:
         return Link(name, None, positive / n if n else 0.0, 1.5 if positive == 0 else 0.5)
     joined = free_name(df, "_inputs")
     df = VectorAssembler(inputCols=list(inputs), outputCol=joined).transform(df).select(F.col("_y").cast("double").alias("label"), joined)
-    # The level that the best of so many unrelated, standardised features reaches by chance; the L1 penalty removes those.
-    share = positive / n
-    noise = math.sqrt(2 * math.log(FEATURES) * share * (1 - share) / n)
     fitted = LogisticRegression(
-        featuresCol=joined, maxIter=ITERATIONS, regParam=noise, elasticNetParam=1.0, standardization=True
+        featuresCol=joined, maxIter=ITERATIONS, regParam=1e-3, standardization=False
     ).fit(df)
     return Link(name, fitted, positive / n)
 
@@ -151,7 +158,7 @@ def fit_chain(
 ) -> Chain:
     """Train the links in turn, each on out-of-fold probabilities of those before it."""
     rows = written(labelled_rows(docs, labels, chain, limit), "labelled")
-    out, inputs = Chain(vocabulary(rows, "_text")), ["_words"]
+    out, inputs = Chain(vocabulary(rows, "_text", [f"_is_{n}" for n, _ in chain])), ["_words"]
     df = written(with_words(rows, out.known, "_text", "_words").drop("_text").coalesce(TRAIN_PARTS), "features")
     for name, _ in chain:
         labelled = df.withColumn("_y", F.col(f"_is_{name}"))
