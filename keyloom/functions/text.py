@@ -123,12 +123,11 @@ def capitalize(c: ColumnOrName) -> Column:
     return F.concat(F.upper(F.left(c, F.lit(1))), F.lower(F.substr(c, F.lit(2))))
 
 
-def bullets(columns: Sequence[ColumnOrName], limit: int | None = 255) -> Column:
+def bullets(columns: Sequence[ColumnOrName], limit: int | None = None) -> Column:
     """Flatten multi-line bullet texts of several columns into one comma-separated text.
 
     Every line loses outer blanks and a leading "- "; empty lines and lone dashes go; the result is
-    cut at ``limit`` characters, the width of the column it is written to (None keeps it whole). NULL
-    if nothing remains.
+    whole unless ``limit`` names the width of the column it is written to. NULL if nothing remains.
     """
     joined = F.concat_ws("\n", *[F.coalesce(col(c).cast("string"), F.lit("")) for c in columns])
     # Splitting at the line feed is enough: the carriage return before it is an outer blank.

@@ -62,10 +62,15 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return per_key.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
 
 
-def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
-    """Raise if a key repeats; a few offenders go into the message."""
-    repeated = df.groupBy(*keys).agg(F.count("*").alias("rows")).filter("rows > 1")
-    sample = repeated.orderBy(*keys).limit(20).collect()
+def repeated_keys(df: DataFrame, keys: Sequence[str], trim: bool = False) -> DataFrame:
+    """Every key that occurs more than once, and how often; with ``trim``, without the blanks around it."""
+    group = [F.trim(F.col(k).cast("string")).alias(k) if trim else F.col(k) for k in keys]
+    return df.groupBy(*group).agg(F.count("*").alias("rows")).filter("rows > 1")
+
+
+def require_unique(df: DataFrame, keys: Sequence[str], trim: bool = False) -> None:
+    """Raise if a key repeats; the first offenders go into the message, ``repeated_keys`` has all."""
+    sample = repeated_keys(df, keys, trim).orderBy(*keys).limit(20).collect()
     if sample:
         raise ValueError(f"duplicate keys {list(keys)}: {[tuple(r) for r in sample]}")
 

@@ -228,8 +228,11 @@ def overlap_samples(left: DataFrame, right: DataFrame, left_key: str, right_key:
 
 
 def new_keys(source: DataFrame, target: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
-    """Source rows whose key the target lacks. A NULL key is new unless ``null_safe``."""
-    narrow = target.select(*keys)
+    """Source rows whose key the target lacks. A NULL key is new unless ``null_safe``.
+
+    The target's keys become distinct first, on the map side too, so a hot key of it is one row.
+    """
+    narrow = target.select(*keys).distinct()
     if null_safe:
         return source.join(narrow, null_safe_condition(source, narrow, keys), "left_anti")
     return source.join(narrow, list(keys), "left_anti")

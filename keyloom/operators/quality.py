@@ -43,7 +43,9 @@ def issues(df: DataFrame, expected: Expectations) -> DataFrame:
     have = set(df.columns)
     missing = [("missing_column", c, "0") for c in sorted(set(expected.required) - have)]
     measures: list[Column] = [F.count("*").alias("rows")]
-    findings: list[tuple[str, str | None, Column, Column]] = [("empty", None, F.col("rows") == 0, F.col("rows"))]
+    findings: list[tuple[str, str | None, Column, Column]] = []
+    if expected.min_rows > 0:
+        findings.append(("empty", None, F.col("rows") == 0, F.col("rows")))
     if expected.min_rows > 1:
         findings.append(("too_few_rows", None, F.col("rows") < expected.min_rows, F.col("rows")))
 

@@ -34,7 +34,8 @@ def monthly_usage(
 
     ``log`` and ``users`` share the column ``user_key``; users are unique on it. If the users fit a
     broadcast, the log meets them unshuffled and is summed once. Otherwise it is summed per user and
-    month before the join, so a user with a third of the log arrives as one row per month. A row where
+    month before the join, so a user with a third of the log arrives as one row per month; the sums have the
+    same types either way. A row where
     either page count is NULL adds nothing to the total of both.
     """
     year, month = "usage_calendar_year", "usage_calendar_month"
@@ -50,13 +51,14 @@ def monthly_usage(
         (F.col(color) + gray).alias("_both"),
     )
     users = users.select(user_key, *user_keys)
+    kind = dict(dated.agg(*[F.sum(c).alias(c) for c in sums]).dtypes)  # of one sum, also where a sum of sums is taken
     if estimated_bytes(users) > broadcast_limit(log.sparkSession):
         dated = dated.groupBy(user_key, *log_keys, year, month).agg(*[F.sum(c).alias(c) for c in sums])
     named = skew_join(dated, users, user_key, "inner")
     pages = named.groupBy(*user_keys, *log_keys, year, month).agg(
-        F.sum("_color").alias("total_color_pages"),
-        F.sum("_gray").alias("total_grayscale_pages"),
-        F.sum("_both").alias("total_pages"),
+        F.sum("_color").cast(kind["_color"]).alias("total_color_pages"),
+        F.sum("_gray").cast(kind["_gray"]).alias("total_grayscale_pages"),
+        F.sum("_both").cast(kind["_both"]).alias("total_pages"),
     )
     color_cost = F.col("total_color_pages") * price(COLOR_PRICE)
     gray_cost = F.col("total_grayscale_pages") * price(GRAY_PRICE)

@@ -51,7 +51,7 @@ def merge_enrollment(master: DataFrame, answers: DataFrame) -> DataFrame:
         return F.col(f"_enr_{c}") if c in answers.columns else F.lit(None).cast("string")
 
     talents = [f"_enr_{c}" for c in V.TALENT_COLUMNS if c in answers.columns]
-    df = fill_if_blank(df, V.TALENT_TARGET, bullets(talents) if talents else F.lit(None).cast("string"))
+    df = fill_if_blank(df, V.TALENT_TARGET, bullets(talents, limit=V.TALENT_WIDTH) if talents else F.lit(None).cast("string"))
     for column, target in V.SIBLING_COLUMNS.items():
         if column in answers.columns:
             df = fill_if_blank(df, target, answer(column))

@@ -65,6 +65,7 @@ TALENT_COLUMNS = (
     "talent_academic",
     "talent_other",
 )
+TALENT_WIDTH = 255  # of the column it goes to
 TALENT_TARGET = "talentname"
 SIBLING_COLUMNS = {
     "number_of_siblings": "numberofsiblings",

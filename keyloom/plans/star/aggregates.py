@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from keyloom.functions.rules import money, percent_text
 from keyloom.operators.dedupe import (
+    repeated_keys,
     duplicate_count,
     duplicate_report,
     keep_one,
@@ -24,8 +25,7 @@ USAGE_SQL = """
            CAST(sum(t - c) * 0.48 AS DOUBLE) AS total_cost_grayscale_pages,
            CAST(sum(c) * 4.82 + sum(t - c) * 0.48 AS DOUBLE) AS total_cost_pages,
            year(d) AS usage_calendar_year, month(d) AS usage_calendar_month,
-           CASE WHEN month(d) >= 10 THEN year(d) + 1 ELSE year(d) END AS usage_budget_year,
-           CASE WHEN month(d) >= 10 THEN month(d) - 9 ELSE month(d) + 3 END AS usage_budget_month_order
+           year(d + INTERVAL 3 MONTH) AS usage_budget_year, month(d + INTERVAL 3 MONTH) AS usage_budget_month_order
     FROM (SELECT l_orderkey, l_returnflag, CAST(nullif(l_quantity, 13) AS DECIMAL(18,2)) AS c,
                  CAST(l_quantity + l_linenumber AS DECIMAL(18,2)) AS t, l_shipdate AS d FROM lineitem)
     JOIN orders ON o_orderkey = l_orderkey
@@ -347,12 +347,23 @@ def bad_keys(t):
 
 @query(
     "D5_duplicate_keys",
-    "SELECT o_custkey, count(*) AS rows FROM orders GROUP BY 1 HAVING count(*) > 1 ORDER BY rows DESC, o_custkey LIMIT 20",
+    "SELECT o_custkey, count(*) AS rows FROM orders GROUP BY 1 HAVING count(*) > 1 ORDER BY rows DESC, o_custkey",
 )
 def duplicate_keys(t):
-    """The offenders a failing uniqueness check reports, most repeated first."""
-    repeated = t.orders.groupBy("o_custkey").agg(F.count("*").alias("rows")).filter("rows > 1")
-    return repeated.orderBy(F.desc("rows"), "o_custkey").limit(20)
+    """All offenders of a failing uniqueness check, most repeated first."""
+    return repeated_keys(t.orders, ["o_custkey"]).orderBy(F.desc("rows"), "o_custkey")
+
+
+@query(
+    "L5_repeated_source_keys",
+    "SELECT trim(k) AS k, count(*) AS rows FROM (SELECT CASE WHEN o_orderkey % 2 = 0 THEN ' ' || o_custkey ELSE o_custkey || '  ' END AS k "
+    "FROM orders) GROUP BY 1 HAVING count(*) > 1",
+)
+def repeated_source_keys(t):
+    """Keys that a guarded load refuses: they repeat once blanks around them are gone."""
+    text = F.col("o_custkey").cast("string")
+    padded = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit(" "), text)).otherwise(F.concat(text, F.lit("  ")))
+    return repeated_keys(t.orders.select(padded.alias("k")), ["k"], trim=True)
 
 
 @query(

@@ -152,8 +152,7 @@ def date_parts(t):
 @query(
     "X10_fiscal",
     """
-    SELECT CASE WHEN month(l_shipdate) >= 10 THEN year(l_shipdate) + 1 ELSE year(l_shipdate) END AS fiscal_year,
-           CASE WHEN month(l_shipdate) >= 10 THEN month(l_shipdate) - 9 ELSE month(l_shipdate) + 3 END AS fiscal_month,
+    SELECT year(l_shipdate + INTERVAL 3 MONTH) AS fiscal_year, month(l_shipdate + INTERVAL 3 MONTH) AS fiscal_month,
            count(*) AS lines FROM lineitem GROUP BY 1, 2
     """,
 )
@@ -314,11 +313,11 @@ def script(t):
 @query(
     "X18_bullets",
     f"""
-    SELECT doc_id, nullif(left(array_to_string(list_filter(list_transform(
+    SELECT doc_id, nullif(array_to_string(list_filter(list_transform(
         string_split(replace(concat_ws(chr(10), '- ' || lang, coalesce(text, ''), '-', ' - ' || source), chr(13) || chr(10), chr(10)), chr(10)),
         lambda x: regexp_replace(regexp_replace(regexp_replace(x, '^{SQL_BLANKS}+|{SQL_BLANKS}+$', '', 'g'), '^- ', ''),
                             '^{SQL_BLANKS}+|{SQL_BLANKS}+$', '', 'g')),
-        lambda x: x NOT IN ('', '-')), ', '), 255), '') AS items FROM documents
+        lambda x: x NOT IN ('', '-')), ', '), '') AS items FROM documents
     """,
 )
 def bullet_texts(t):

@@ -168,10 +168,12 @@ class KeyedTable:
         s_keys = [source_of[k] for k in rule.keys]
         usable = usable_source(source, LoadRule(tuple(s_keys), trim_key=rule.trim_key))
         staged = materialize(self._bucket_of(usable, s_keys), "source")
-        per_key = staged.groupBy(BUCKET, *s_keys).agg(F.count("*").alias("n"))
+        # Keys repeat if the join takes them for equal.
+        matched = [F.trim(F.col(k).cast("string")) if rule.trim_key else F.col(k) for k in s_keys]
+        per_key = staged.groupBy(BUCKET, *matched).agg(F.count("*").alias("n"))
         arriving = self._per_bucket(per_key, F.sum("n").alias("rows"), F.max("n").alias("most"))
         if any(b["most"] > 1 for b in arriving.values()):
-            require_unique(staged, s_keys)
+            require_unique(staged, s_keys, rule.trim_key)
         near = target.filter(F.col(BUCKET).isin(list(arriving)))
         changed = change_set(near.drop(BUCKET), staged.drop(BUCKET), rule)
         delta = materialize(self._bucket_of(changed, self.keys), "changes")

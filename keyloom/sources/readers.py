@@ -36,11 +36,14 @@ def jdbc_options(
     partition: tuple[str, int, int, int] | None = None,
     fetch_size: int = 10_000,
     properties: Mapping[str, str] | None = None,
+    one_task: bool = False,
 ) -> dict[str, str]:
     """Options of a JDBC read; ``partition`` is (column, lowest, highest, number of partitions).
 
-    Without a partition column one task reads the whole table; give one for any large table.
+    Without a partition column one task reads the whole table, so that has to be asked for (``one_task``).
     """
+    if not partition and not one_task:
+        raise ValueError("name a partition column, or ask for one_task")
     options = {"url": url, "dbtable": table, "fetchsize": str(fetch_size), **(properties or {})}
     if partition:
         column, low, high, count = partition
@@ -63,12 +66,12 @@ def read_tables(read: Callable[[str], DataFrame], names: Mapping[str, str]) -> d
     return {logical: read(physical) for logical, physical in names.items()}
 
 
-def read_text_export(spark: SparkSession, path: str, separator: str = ",") -> DataFrame:
+def read_text_export(spark: SparkSession, path: str, separator: str = ",", multi_line: bool = False) -> DataFrame:
     """A spreadsheet export (delimited text with a header), every column text, names normalized.
 
-    Cells may hold line breaks, so quoted fields are read as multi-line.
+    ``multi_line`` reads quoted cells with line breaks, at the price of one task per file.
     """
-    options = {"header": True, "inferSchema": False, "multiLine": True, "escape": '"', "sep": separator}
+    options = {"header": True, "inferSchema": False, "multiLine": multi_line, "escape": '"', "sep": separator}
     return normalize_columns(spark.read.options(**options).csv(path), dashes=False)
 
 

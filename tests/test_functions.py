@@ -136,7 +136,8 @@ def python_bullets(values, limit):
 )
 def test_bullets(spark, a, b):
     df = spark.createDataFrame([(a, b)], "a string, b string")
-    assert df.select(text.bullets(["a", "b"])).first()[0] == python_bullets([a, b], 255)
+    assert df.select(text.bullets(["a", "b"], limit=255)).first()[0] == python_bullets([a, b], 255)
+    assert df.select(text.bullets(["a", "b"])).first()[0] == python_bullets([a, b], None)
 
 
 def test_scrub_missing(one):

@@ -21,7 +21,7 @@ from keyloom.streaming.incremental import drain_inserts, drain_upserts
 
 
 def test_jdbc_options():
-    whole = readers.jdbc_options("jdbc:x", "fee.Invoices")
+    whole = readers.jdbc_options("jdbc:x", "fee.Invoices", one_task=True)
     assert "partitionColumn" not in whole and whole["dbtable"] == "fee.Invoices"
     split = readers.jdbc_options("jdbc:x", "fee.Invoices", ("Id", 1, 10**9, 200), properties={"user": "u"})
     assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"], split["user"]) == (
@@ -36,7 +36,7 @@ def test_jdbc_options():
 def test_text_exports(spark, folder):
     df = spark.createDataFrame([("001", "- a\n- b", None), ("2.0", "", "x")], "`Student ID` string, `Talent Other` string, c string")
     df.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(f"{folder}/csv")
-    got = readers.read_text_export(spark, f"{folder}/csv")
+    got = readers.read_text_export(spark, f"{folder}/csv", multi_line=True)
     assert got.dtypes == [("student_id", "string"), ("talent_other", "string"), ("c", "string")]
     assert {r["student_id"]: r["talent_other"] for r in got.collect()}["001"] == "- a\n- b"
     df.write.json(f"{folder}/json")
@@ -196,3 +196,15 @@ def test_streams_load_new_files_once(spark, folder):
     arrive([("2", "y", 3), ("3", "z", 3)])
     assert content(table) == [("1", "new", 2), ("2", "y", 3), ("3", "z", 3)]
     assert [r[0] for r in content(facts)] == ["1", "2", "3"] and dict((r[0], r[1]) for r in content(facts))["2"] == "x"
+
+
+def test_guarded_load_refuses_keys_that_trim_to_the_same(spark, folder):
+    from keyloom.operators.keyed_load import guarded
+    from keyloom.sources.keyed_table import KeyedTable
+
+    table = KeyedTable(spark, f"{folder}/t", ["k"], buckets=4, text_keys=True)
+    table.load(spark.createDataFrame([("3", "a")], "k string, v string"), guarded("k"))
+    twice = spark.createDataFrame([("3", "b"), (" 3", "c"), ("7", "x"), ("7 ", "y")], "k string, v string")
+    with pytest.raises(ValueError, match="duplicate keys"):
+        table.load(twice, guarded("k"))
+    assert [tuple(r) for r in table.read().select("k", "v").collect()] == [("3", "a")]
