@@ -14,9 +14,14 @@ Columns of the input are kept, whatever their names.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial, reduce
 
+import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -24,11 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyloom.llm.common import free_name, quoted, written
+from keyloom.session import shuffle_width
 
 MAX_LABELLED = 20_000
 FOLDS, ITERATIONS = 3, 20
 #: Tasks of a training step; the sample is bounded.
-TRAIN_PARTS = 6
+TRAIN_PARTS = 3
 #: At most so many words are features; a word counts from so many texts of the sample.
 FEATURES, LEAST_TEXTS = 2048, 4
 #: Beginnings of words that are features beside the words.
@@ -37,23 +43,53 @@ STEMS = (4, 5)
 CHAIN = (("poor", "1 - quality"), ("toxic", "toxic"))
 
 
-def words(text: str) -> Column:
-    """Different lower-case words (runs of letters and digits), and the beginnings that stand for their inflections."""
-    pieces = F.split(F.lower(F.coalesce(quoted(text), F.lit(""))), "[^\\p{L}\\p{N}]+")
-    whole = F.array_distinct(F.filter(pieces, lambda w: w != ""))
-    stems = [
-        F.transform(F.filter(whole, lambda w, n=n: F.length(w) > n), lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("-")))
-        for n in STEMS
-    ]
-    return F.array_distinct(F.concat(whole, *stems))
+WORD = re.compile(r"[^\W_]+")
+#: The same for ASCII texts: every other byte becomes a blank.
+ASCII_WORDS = bytes(c if chr(c).isascii() and chr(c).isalnum() else 32 for c in range(256))
+#: Texts from so many characters on give their words piece by piece, without a list of all.
+LONG = 1 << 20
+
+
+def whole_words(text: str | None) -> set[str]:
+    """Different lower-case words (runs of letters and digits)."""
+    low = (text or "").lower()
+    if len(low) >= LONG:
+        return {m.group() for m in WORD.finditer(low)}
+    if low.isascii():
+        return set(low.encode("ascii").translate(ASCII_WORDS).decode("ascii").split())
+    return set(WORD.findall(low))
+
+
+def stems(words: set[str], n: int) -> set[str]:
+    """The beginnings that stand for the inflections of words."""
+    return {w[:n] + "-" for w in words if len(w) > n}
+
+
+def spoken_words(rows: DataFrame, text: str, flags: Sequence[str]) -> DataFrame:
+    """(word, n, flags): the number of texts with a word, and of those in each category."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            sums: dict[str, list[float]] = {}
+            for said, *values in frame.itertuples(index=False, name=None):
+                whole = whole_words(said)
+                for word in whole.union(*[stems(whole, n) for n in STEMS]):
+                    have = sums.setdefault(word, [0.0] * (1 + len(values)))
+                    have[0] += 1
+                    for i, value in enumerate(values, 1):
+                        have[i] += value
+            yield pd.DataFrame([(w, *have) for w, have in sums.items()], columns=["word", "n", *flags])
+
+    names = ", ".join(f"`{f}` double" for f in ("n", *flags))
+    parts = rows.select(text, *[F.col(f).cast("double") for f in flags]).mapInPandas(run, f"word string, {names}")
+    return parts.groupBy("word").agg(*[F.sum(f).alias(f) for f in ("n", *flags)])
 
 
 def vocabulary(rows: DataFrame, text: str, flags: Sequence[str]) -> CountVectorizerModel:
     """The words that stand out in a category: more, or less, of its texts have them than chance explains."""
     counted = rows.agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in flags]).first()
     n = max(1, counted["n"])
-    spoken = rows.select(F.explode(words(text)).alias("word"), *flags).groupBy("word")
-    spoken = spoken.agg(F.count("*").alias("n"), *[F.sum(f).alias(f) for f in flags]).filter(F.col("n") >= LEAST_TEXTS)
+    spoken = written(spoken_words(rows, text, flags).filter(F.col("n") >= LEAST_TEXTS), "spoken")
     level = math.sqrt(2 * math.log(max(2, spoken.count())))  # what the best of so many unrelated words reaches
     scores = []
     for f in flags:
@@ -66,10 +102,25 @@ def vocabulary(rows: DataFrame, text: str, flags: Sequence[str]) -> CountVectori
     return CountVectorizerModel.from_vocabulary(chosen, inputCol="_tokens", outputCol="_counts").setBinary(True)
 
 
+def known_words(vocabulary: Sequence[str], text: Column) -> Column:
+    """The words of a text that are in the vocabulary."""
+    known = frozenset(vocabulary)
+
+    def among_known(text: str | None) -> list[str]:
+        whole = whole_words(text)
+        return sorted((whole & known).union(*[stems(whole, n) & known for n in STEMS]))
+
+    @F.pandas_udf("array<string>")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([among_known(t) for t in texts], index=texts.index, dtype=object)
+
+    return run(text)
+
+
 def with_words(df: DataFrame, known: CountVectorizerModel, text: str, output: str) -> DataFrame:
     tokens = free_name(df, "_tokens")
     counting = known.copy().setInputCol(tokens).setOutputCol(output)
-    return counting.transform(df.withColumn(tokens, words(text))).drop(tokens)
+    return counting.transform(df.withColumn(tokens, known_words(known.vocabulary, quoted(text)))).drop(tokens)
 
 
 @dataclass
@@ -129,13 +180,16 @@ def learn(df: DataFrame, name: str, inputs: Sequence[str]) -> Link:
 
 
 def best_threshold(df: DataFrame, probability: str) -> float:
-    """The threshold with the best F1, the middle one of equals."""
-    grid = [k / 100 for k in range(5, 96)]
-    sums = [F.sum(F.when(F.col(probability) >= t, F.lit(w) * F.col("_y") + F.lit(1 - w) * (1 - F.col("_y"))).otherwise(0)) for t in grid for w in (1, 0)]
-    row = df.agg(F.sum("_y"), *sums).first()
-    positives = row[0] or 0
-    scores = [2 * row[1 + 2 * i] / max(1, positives + row[1 + 2 * i] + row[2 + 2 * i]) for i in range(len(grid))]
-    equal = [t for t, s in zip(grid, scores, strict=True) if s == max(scores)]
+    """The threshold, in hundredths, with the best F1, the middle one of equals."""
+    steps = df.groupBy(F.floor(F.col(probability) * 100).alias("step")).agg(F.count("*").alias("n"), F.sum("_y").alias("positive"))
+    rows = steps.collect()  # at most 101
+    positives = sum(r["positive"] for r in rows)
+    grid = range(5, 96)
+    scores = []
+    for k in grid:
+        above = [r for r in rows if r["step"] >= k]
+        scores.append(2 * sum(r["positive"] for r in above) / max(1, positives + sum(r["n"] for r in above)))
+    equal = [k / 100 for k, s in zip(grid, scores, strict=True) if s == max(scores)]
     return equal[len(equal) // 2]
 
 
@@ -150,7 +204,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, chain: Sequence[tuple[str,
     kept = kept.withColumnRenamed("doc_id", "_labelled")
     texts = docs.select(F.col("doc_id").alias("_doc"), F.col("text").alias("_text"))
     rows = texts.join(kept, F.col("_doc") == F.col("_labelled")).drop("_labelled")
-    return rows.dropDuplicates(["_doc"])
+    return rows.repartition(shuffle_width(docs.sparkSession), "_doc").dropDuplicates(["_doc"])
 
 
 def fit_chain(
@@ -159,18 +213,17 @@ def fit_chain(
     """Train the links in turn, each on out-of-fold probabilities of those before it."""
     rows = written(labelled_rows(docs, labels, chain, limit), "labelled")
     out, inputs = Chain(vocabulary(rows, "_text", [f"_is_{n}" for n, _ in chain])), ["_words"]
-    df = written(with_words(rows, out.known, "_text", "_words").drop("_text").coalesce(TRAIN_PARTS), "features")
+    df = written(with_words(rows, out.known, "_text", "_words").drop("_text"), "features")
+    df = df.coalesce(TRAIN_PARTS)
     for name, _ in chain:
         labelled = df.withColumn("_y", F.col(f"_is_{name}"))
-        output, parts = f"_p_{name}", []
-        for fold in range(FOLDS):
-            link = learn(labelled.filter(F.col("_fold") != fold), name, inputs)
-            parts.append(link.probability(labelled.filter(F.col("_fold") == fold), inputs, output))
-        seen = parts[0]
-        for part in parts[1:]:
-            seen = seen.unionByName(part)
-        seen = written(seen.coalesce(TRAIN_PARTS), "out_of_fold")
-        link = learn(labelled, name, inputs)
+        output = f"_p_{name}"
+        sets = [labelled.filter(F.col("_fold") != fold) for fold in range(FOLDS)] + [labelled]
+        fit = inheritable_thread_target(docs.sparkSession)(partial(learn, name=name, inputs=list(inputs)))
+        with ThreadPoolExecutor(len(sets)) as pool:  # their jobs run side by side
+            *folds, link = pool.map(fit, sets)
+        parts = [k.probability(labelled.filter(F.col("_fold") == fold), inputs, output) for fold, k in enumerate(folds)]
+        seen = written(reduce(DataFrame.unionByName, parts).coalesce(TRAIN_PARTS), "out_of_fold")
         if link.model is not None:
             link.threshold = best_threshold(seen, output)
         out.links.append(link)

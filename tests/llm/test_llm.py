@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from keyloom.llm import chat, decontamination, licenses, mixing, neighbours, repeats, sharding, similar
+from keyloom.llm import chat, decontamination, licenses, mixing, neighbours, repeats, sharding, similar, toxicity
 from keyloom.llm.queries import ORACLE, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -175,3 +175,47 @@ def test_licenses(spark, docs, nothing):
     assert ordered((r["doc_id"], r["license"], r["containment"]) for r in found.collect()) == [(1, "Apache-2.0", 1.0), (1, "MIT", 1.0)]
     assert licenses.scan(nothing).count() == 0
     assert 1 - (1 - licenses.SIMILARITY) ** licenses.BANDS >= licenses.CERTAINTY
+
+
+def test_toxicity_words():
+    assert toxicity.whole_words(None) == toxicity.whole_words(" _-. ") == set()
+    assert toxicity.whole_words("Ab_c1 ab\x7fÉté") == {"ab", "c1", "été"}
+    for text in ("One two_two\tthree-3 x", "ß·Ünder “quoted” words"):
+        assert toxicity.whole_words(text) == toxicity.whole_words((text + " ") * (toxicity.LONG // len(text) + 1))
+    assert toxicity.stems({"abcd", "abcde", "abcdef"}, 4) == {"abcd-"}
+
+
+def test_toxicity_on_held_out_rows(spark, docs, nothing):
+    rows = []
+    for i in range(600):
+        bad = i % 5 == 0
+        rest = " ".join(f"w{(i * 7 + k * k) % 50}" for k in range(20))
+        rows.append((i, rest + (" vile hateful" if bad else " kind") if i % 4 else rest + (" vile" if bad else ""), int(bad), float(i % 3 > 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int, quality double")
+    seen = table.filter("doc_id < 400")
+    labels = seen.select("doc_id", "toxic", "quality")
+    chain = toxicity.fit_chain(seen, labels)
+    scored = chain.score(table.filter("doc_id >= 400"))
+    found = {r["doc_id"]: r["bad"] for r in scored.select("doc_id", chain.rejects(scored).alias("bad")).collect()}
+    wrong = [i for i, bad in found.items() if bad != (i % 5 == 0)]
+    assert len(found) == 200 and len(wrong) <= 4
+    # Every row has a result, whatever its text and its other columns; no text is never rejected.
+    scored = chain.score(docs)
+    assert scored.columns[:-1] == docs.columns and scored.count() == docs.count()
+    assert scored.filter(chain.rejects(scored)).filter("coalesce(text, '') = ''").isEmpty()
+    # No label, one kind of label, null and repeated labels, no document.
+    for known in (labels.limit(0), labels.filter("toxic = 0"), labels.unionByName(labels).unionByName(labels.selectExpr("doc_id", "null as toxic", "quality"))):
+        chain = toxicity.fit_chain(seen, known)
+        scored = chain.score(nothing)
+        assert scored.filter(chain.rejects(scored)).count() == 0
+
+
+def test_best_threshold(spark):
+    rows = [(k / 40, int(k > 22) ^ int(k % 9 == 0)) for k in range(41)]
+    got = toxicity.best_threshold(spark.createDataFrame(rows, "p double, _y int"), "p")
+
+    def f1(t):
+        hit = sum(y for p, y in rows if p >= t)
+        return 2 * hit / (sum(y for _, y in rows) + sum(p >= t for p, _ in rows))
+
+    assert f1(got) == max(f1(k / 100) for k in range(5, 96))
