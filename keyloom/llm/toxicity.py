@@ -16,12 +16,10 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import partial, reduce
+from functools import reduce
 
 import pandas as pd
-from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -218,10 +216,9 @@ def fit_chain(
     for name, _ in chain:
         labelled = df.withColumn("_y", F.col(f"_is_{name}"))
         output = f"_p_{name}"
-        sets = [labelled.filter(F.col("_fold") != fold) for fold in range(FOLDS)] + [labelled]
-        fit = inheritable_thread_target(docs.sparkSession)(partial(learn, name=name, inputs=list(inputs)))
-        with ThreadPoolExecutor(len(sets)) as pool:  # their jobs run side by side
-            *folds, link = pool.map(fit, sets)
+        # One after another: side by side, the jobs' records fill the driver's memory.
+        folds = [learn(labelled.filter(F.col("_fold") != fold), name, inputs) for fold in range(FOLDS)]
+        link = learn(labelled, name, inputs)
         parts = [k.probability(labelled.filter(F.col("_fold") == fold), inputs, output) for fold, k in enumerate(folds)]
         seen = written(reduce(DataFrame.unionByName, parts).coalesce(TRAIN_PARTS), "out_of_fold")
         if link.model is not None:
