@@ -19,7 +19,8 @@ Sets of similarity J or more differ in at most a third of either's size n (J = 0
    sketch of ``BITS`` bits (its Hamming distance is at most the symmetric difference, too), then exactly.
    That is linear in the group. What is verified is joined into components.
 4. Rest. Only in groups that still hold members of different components, pairs from different components are
-   compared, again by size and sketch inside the join, by their number of common keys, then exactly. Pairs within a component need no check,
+   compared, again by size and sketch inside the join, by their number of common keys, then exactly. Groups of two
+   are not expanded, but their keys are counted. Pairs within a component need no check,
    so large groups of near copies are never expanded into pairs, and no link between components is lost.
 
 Equal texts are one node (the upper 64 bits of their SHA-256; two texts that share them stop the job).
@@ -237,10 +238,15 @@ def may_link(a: str, b: str) -> Column:
 
 
 def near(pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The pairs (a, b) that sizes, sketches and the number of common keys (``shared``) let through; written."""
+    """The pairs (a, b) that sizes and sketches let through; written.
+
+    ``enough`` says whether the number of common keys (``shared``) does so, too. Without it and without ``alone``, the
+    number of keys that only these two hold, a pair is left out.
+    """
     small = sizes.select("node", F.struct("n", "sketch", "spare", "hot").alias("s"))
     both = pairs.join(small.withColumnsRenamed({"node": "a", "s": "_x"}), "a").join(small.withColumnsRenamed({"node": "b", "s": "_y"}), "b")
-    return written(both.filter(may_link("_x", "_y") & (F.col("shared") >= least_shared("_x", "_y"))).select("a", "b"), "near")
+    both = both.withColumn("enough", F.col("shared") >= least_shared("_x", "_y"))
+    return written(both.filter(may_link("_x", "_y") & (F.col("enough") | (F.col("alone") > 0))).select("a", "b", "alone", "enough"), "near")
 
 
 def least_shared(a: str, b: str) -> Column:
@@ -299,9 +305,11 @@ def node_components(docs: DataFrame, text: str = "text", by_shingle: bool = Fals
     light = sizes.filter((F.col("hot") > 0) & (F.col("hot") <= F.col("spare"))).select("node")
     kept = keys.filter("not hot").unionByName(keys.filter("hot").join(light, "node", "left_anti"))
     kept = written(kept.select("key", "node"), "kept_keys")
-    first = kept.groupBy("key").agg(F.min("node").alias("a"))
+    first = kept.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("_n"))
     stars = kept.select("key", F.col("node").alias("b")).join(first, "key").filter("a < b")
-    stars = near(stars.groupBy("a", "b").agg(F.count("*").alias("shared")), sizes)
+    # Here ``shared`` lacks the keys that a smaller node than a holds: whoever has not enough of them comes up again.
+    tried = near(stars.groupBy("a", "b").agg(F.count("*").alias("shared"), F.count_if(F.col("_n") == 2).alias("alone")), sizes)
+    stars = tried.filter("enough").select("a", "b")
     sets = sets_of(docs, text, nodes_of(stars))
     # One pair per member first; the rest of its pairs only where that has not joined them already.
     links = verified(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets)
@@ -320,8 +328,11 @@ def node_components(docs: DataFrame, text: str = "text", by_shingle: bool = Fals
     left = open_rows.select("key", F.col("node").alias("a"), F.col("component").alias("_ca"), F.col("s").alias("_x"))
     right = open_rows.select("key", F.col("node").alias("b"), F.col("component").alias("_cb"), F.col("s").alias("_y"))
     cross = left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.col("_ca") != F.col("_cb")) & may_link("_x", "_y"))
-    # Members of different components have all their common keys in these groups.
-    cross = near(cross.groupBy("a", "b").agg(F.count("*").alias("shared")), sizes)
+    # All common keys of members of different components: those of these groups, and those that only the two hold.
+    # Whoever shares none of these groups was counted in full by the stars; what the stars let through is verified.
+    cross = cross.groupBy("a", "b").agg(F.count("*").alias("_here")).join(tried, ["a", "b"], "left").filter("not coalesce(enough, false)")
+    cross = cross.select("a", "b", (F.col("_here") + F.coalesce("alone", F.lit(0))).alias("shared"), F.lit(0).alias("alone"))
+    cross = near(cross, sizes).select("a", "b")
     more = verified(cross, sets_of(docs, text, nodes_of(cross)))
     return sizes.select("node", "n"), label if more.isEmpty() else components(links.unionByName(more))
 
