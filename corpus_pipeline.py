@@ -47,7 +47,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("sharding", deal_into_shards),
 ]
 
-# No SQL has the hashes and models of these stages; tests hold each stage against brute force.
+# No SQL has the hashes and models of these stages; tests/llm/test_corpus_pipeline.py holds each stage against a plain
+# version, but takes the toxicity model's probabilities as given and holds them against the labels of invented rows.
 ORACLE_SQL = None
 
 
