@@ -7,8 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from keyloom.session import new_run_folder, shuffle_width
 
@@ -103,3 +105,74 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x7FB5D329728EA185)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x81DADEF4BC2DD44D)
     return x ^ (x >> np.uint64(33))
+
+
+def changes(batch: pa.RecordBatch, names: list[str], before: pa.RecordBatch | None) -> np.ndarray:
+    """For each row, whether it differs from the row before it in any of the columns (null equals null)."""
+    n = len(batch)
+    out = np.zeros(n, bool)
+    for name in names:
+        column = batch.column(name)
+        for rows, a, b in ((out[1:], column[1:], column[:-1]), (out[:1], column[:1], before and before.column(name)[-1:])):
+            if b is None:
+                rows[:] = True
+            elif len(a):
+                same = pc.or_(pc.fill_null(pc.equal(a, b), False), pc.and_(pc.is_null(a), pc.is_null(b)))
+                rows |= ~same.to_numpy(zero_copy_only=False)
+    return out
+
+
+def placed(df: DataFrame, group: list[str], order: list[Column], label: str) -> DataFrame:
+    """``df`` written with ``pos``, a row's place in its group from 0, and ``run``, a number of the group.
+
+    Groups ascend by ``group`` (null first), and ``run`` ascends with them: it is the place of the group's first row among
+    all rows. Rows are range-partitioned, so that a hot group is spread over many tasks; each task numbers what it has, and
+    one row per range says where its groups began. ``order`` should tell all rows apart. Columns named ``part``, ``at`` and
+    ``lead`` must not be there.
+    """
+    keys = [*map(quoted, group), *order]
+    ranged = df.repartitionByRange(shuffle_width(df.sparkSession), *keys).sortWithinPartitions(*keys)
+    ranged = ranged.withColumn("part", F.spark_partition_id())
+    schema = T.StructType([*ranged.schema.fields, T.StructField("at", T.LongType()), T.StructField("lead", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, lead, before = 0, 0, None
+        for batch in batches:
+            if len(batch):
+                place = np.arange(at, at + len(batch))
+                leads = np.maximum.accumulate(np.where(changes(batch, group, before), place, lead))
+                at, lead, before = at + len(batch), int(leads[-1]), batch.slice(len(batch) - 1)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place), pa.array(leads)], [*batch.schema.names, "at", "lead"])
+
+    stored = written(ranged.mapInArrow(run, schema), label)
+    who = F.struct(*map(quoted, group))
+    parts = stored.groupBy("part").agg(
+        F.count("*").alias("n"), F.min_by(who, "at").alias("head"), F.max_by(who, "at").alias("tail"), F.max("lead").alias("lead")
+    )
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    parts = parts.withColumn("offset", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    parts = parts.withColumn("goes_on", F.coalesce(F.col("head").eqNullSafe(F.lag("tail").over(Window.orderBy("part"))), F.lit(False)))
+    began = F.when(~F.col("goes_on") | (F.col("lead") > 0), F.col("offset") + F.col("lead"))
+    parts = parts.withColumn("began", began).withColumn("base", F.last("began", ignorenulls=True).over(earlier))
+    parts = parts.select("part", "offset", F.when(F.col("goes_on"), F.col("base")).otherwise(F.col("offset")).alias("base"))
+    # One row per range, which is at most spark.sql.shuffle.partitions.
+    joined = stored.join(F.broadcast(parts), "part")
+    first = F.when(F.col("lead") == 0, F.col("base")).otherwise(F.col("offset") + F.col("lead"))
+    joined = joined.withColumn("run", first).withColumn("pos", F.col("offset") + F.col("at") - F.col("run"))
+    return joined.select(*map(quoted, df.columns), "run", "pos")
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], names: list[str], least: int) -> Iterator[pa.Table]:
+    """Sorted batches as tables of whole groups, each of about ``least`` rows or of the group that is larger."""
+    held, rows = [], 0
+    for batch in batches:
+        if not len(batch):
+            continue
+        starts = np.flatnonzero(changes(batch, names, held[-1] if held else None))
+        if held and len(starts) and rows + starts[-1] >= least:
+            yield pa.Table.from_batches([*held, batch.slice(0, int(starts[-1]))])
+            held, rows, batch = [], 0, batch.slice(int(starts[-1]))
+        held.append(batch)
+        rows += len(batch)
+    if held:
+        yield pa.Table.from_batches(held)
