@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyloom.llm import archive, chat, decontamination, licenses, merkle, mixing, neighbours, repair, repeats, sharding, similar, toxicity
+from keyloom.llm import archive, chat, decontamination, hidden, licenses, merkle, mixing, neighbours, repair, repeats, sharding, similar, toxicity
 from keyloom.llm.common import table
 
 
@@ -85,6 +85,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(table(spark, sf_dir, "conversations"))
 
 
+def op12_hidden_markov_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents"))
 
@@ -109,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_ngram_jaccard_join,
         op10_license_scan,
         op11_conversation_repair,
+        op12_hidden_markov_scoring,
         op13_merkle_manifest,
         pipeline,
     )
