@@ -185,6 +185,11 @@ class _Columns:
         return F.when(F.col("_op") == "UPDATE", differing.cast(kind)).otherwise(empty)
 
 
+def compared_columns(target: DataFrame, source: DataFrame, rule: LoadRule) -> list[str]:
+    """The target columns a load compares."""
+    return _Columns(target, source, rule).compared
+
+
 def usable_source(source: DataFrame, rule: LoadRule) -> DataFrame:
     """Source rows a trimmed-key load looks at: those with a key that is not blank."""
     if not rule.trim_key:

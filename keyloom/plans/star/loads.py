@@ -24,8 +24,9 @@ from keyloom.operators.settlement import CREDIT_TYPE, LUMP_SUM_TYPE, settle
 from keyloom.plans.fixed_values import REGISTRATION_TYPES
 from keyloom.plans.star.aggregates import PROFILED_SQL, READY_SQL, USAGE_SQL, _profiled, usage
 from keyloom.plans.star.aggregates import ready as readiness_row
-from keyloom.plans.star.registry import query
-from keyloom.session import materialize
+from keyloom.plans.star.registry import ORACLE, query
+from keyloom.session import materialize, new_run_folder
+from keyloom.sources.keyed_table import KeyedTable
 from keyloom.sources.snapshots import blank_values_to_null, refresh_counts
 
 CUTOFF = "1996-01-01"
@@ -335,6 +336,64 @@ def inserted(t):
     return insert_only(*_insert_sides(t)).agg(F.count("*").alias("inserted"))
 
 
+# --- the same loads through a table: fill, load, load again, read back ---
+
+
+def _loaded(t, target, source, rule, **options):
+    table = KeyedTable(t.spark, new_run_folder(t.spark, "table"), list(rule.keys), buckets=8, **options)
+    table.fill(target)
+    table.load(source, rule)
+    again = table.load(source, rule)  # changes nothing
+    if again.inserted or again.updated:
+        raise AssertionError(f"a repeated load wrote {again.inserted} and {again.updated} rows")
+    return table.read()
+
+
+@query("L1_table_load", ORACLE["L1_guarded_upsert"])
+def guarded_table_load(t):
+    target, source, rule = _guarded_sides(t)
+    return _loaded(t, target, source.drop("unknown"), rule, text_keys=True)
+
+
+@query("L2_table_load", ORACLE["L2_overwrite_upsert"])
+def overwrite_table_load(t):
+    return _loaded(t, *_overwrite_sides(t)).withColumn("shipped", F.date_format("shipped", "yyyy-MM-dd"))
+
+
+@query("L3_table_load", ORACLE["L3_exact_upsert"])
+def exact_table_load(t):
+    return _loaded(t, *_exact_sides(t))
+
+
+@query("L3_fingerprint_load", ORACLE["L3_exact_upsert"])
+def fingerprint_table_load(t):
+    """Wide rows are read only of buckets where keys are new or stored hashes differ."""
+    return _loaded(t, *_exact_sides(t), fingerprint=["lang", "source", "size"])
+
+
+@query("L4_table_append", INSERT_KEYS_SQL + "SELECT * FROM t UNION ALL SELECT * FROM fresh")
+def table_append(t):
+    """Month after month; a load asks only segments whose months its rows reach."""
+    target, source, keys = _insert_sides(t)
+    table = KeyedTable(t.spark, new_run_folder(t.spark, "table"), ["user_name"], buckets=4, ranged=["y", "m"])
+    table.fill(target)
+    for part in (F.col("y") < 1998, F.col("y") == 1998, F.col("y") > 1998):
+        table.append_new(source.filter(part), keys)
+    return table.read()
+
+
+@query("S8_table_purge", "SELECT o_orderkey AS k, o_orderstatus AS status FROM orders WHERE o_orderpriority <> '5-LOW'")
+def table_purge(t):
+    """Rows with blank keys go, then small files are written anew; equal rows before and after."""
+    key = F.when(F.col("o_orderpriority") == "5-LOW", F.lit(" ")).otherwise(F.col("o_orderkey").cast("string"))
+    rows = t.orders.select(key.alias("k"), F.col("o_orderstatus").alias("status"))
+    table = KeyedTable(t.spark, new_run_folder(t.spark, "table"), ["k"], buckets=4)
+    table.fill(rows)
+    table.purge_bad_keys(digits_only=True)
+    table.compact(files=1)
+    return table.read().select(F.col("k").cast("long").alias("k"), "status")
+
+
 # --- refresh, checks, audit ---
 
 
