@@ -138,3 +138,17 @@ def bullets(columns: Sequence[ColumnOrName], limit: int | None = None) -> Column
     kept = F.filter(items, lambda item: ~item.isin("", "-"))
     flat = F.array_join(kept, ", ")
     return F.nullif(flat if limit is None else F.left(flat, F.lit(limit)), F.lit(""))
+
+
+# Fixed value: text keys that differ in case or in trailing blanks only are one key.
+CASELESS = "UTF8_LCASE_RTRIM"
+
+
+def collated(c: ColumnOrName, collation: str = CASELESS) -> Column:
+    """Text that compares, groups and joins under a collation; its value stays as it is."""
+    return F.collate(col(c).cast("string"), collation)
+
+
+def collation_key(c: ColumnOrName) -> Column:
+    """Equal for texts that are equal under ``CASELESS``: for hashes, which look at the bytes."""
+    return F.rtrim(F.lower(col(c).cast("string")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keyloom.functions.rules import any_of
+from keyloom.functions.text import collated
 from keyloom.session import materialize
 
 
@@ -62,15 +63,16 @@ def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return per_key.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
 
 
-def repeated_keys(df: DataFrame, keys: Sequence[str], trim: bool = False) -> DataFrame:
+def repeated_keys(df: DataFrame, keys: Sequence[str], trim: bool = False, caseless: bool = False) -> DataFrame:
     """Every key that occurs more than once, and how often; with ``trim``, without the blanks around it."""
     group = [F.trim(F.col(k).cast("string")).alias(k) if trim else F.col(k) for k in keys]
+    group = [collated(g).alias(k) for g, k in zip(group, keys, strict=True)] if caseless else group
     return df.groupBy(*group).agg(F.count("*").alias("rows")).filter("rows > 1")
 
 
-def require_unique(df: DataFrame, keys: Sequence[str], trim: bool = False) -> None:
+def require_unique(df: DataFrame, keys: Sequence[str], trim: bool = False, caseless: bool = False) -> None:
     """Raise if a key repeats; the first offenders go into the message, ``repeated_keys`` has all."""
-    sample = repeated_keys(df, keys, trim).orderBy(*keys).limit(20).collect()
+    sample = repeated_keys(df, keys, trim, caseless).orderBy(*keys).limit(20).collect()
     if sample:
         raise ValueError(f"duplicate keys {list(keys)}: {[tuple(r) for r in sample]}")
 

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from keyloom.functions.rules import any_of
 from keyloom.functions.schema import shared_columns
-from keyloom.functions.text import clean_value, norm
+from keyloom.functions.text import clean_value, collated, norm
 from keyloom.operators.dedupe import keep_one
 from keyloom.operators.matching import new_keys
 
@@ -36,6 +36,7 @@ class LoadRule:
               "sentinel": NULL equals 0, '' and 1900-01-01; "exact": only identical values are equal.
     assign    "nonblank": per column, only if the source is not blank and differs; "all": every column.
     trim_key  match on the trimmed text of the key, and skip NULL or blank source keys.
+    caseless  keys that differ in case or trailing blanks only are one key.
     ignore    columns neither compared nor written.
     stamp     columns written with a changed row but not compared.
     audit     columns reported in the change map; None for all compared ones.
@@ -50,11 +51,23 @@ class LoadRule:
     stamp: tuple[str, ...] = ()
     audit: tuple[str, ...] | None = None
     audit_empty_counts: bool = True
+    caseless: bool = False
 
+    def matched(self, key: str) -> Column:
+        """What keys are compared by."""
+        value = F.trim(F.col(key).cast("string")) if self.trim_key else F.col(key)
+        return collated(value) if self.caseless else value
 
-def guarded(key: str, ignore: Sequence[str] = ()) -> LoadRule:
+
+def guarded(key: str, ignore: Sequence[str] = (), caseless: bool = False) -> LoadRule:
     return LoadRule(
-        (key,), "guarded", "nonblank", trim_key=True, ignore=(*ignore, ROW_ORDER), audit_empty_counts=False
+        (key,),
+        "guarded",
+        "nonblank",
+        trim_key=True,
+        ignore=(*ignore, ROW_ORDER),
+        audit_empty_counts=False,
+        caseless=caseless,
     )
 
 
@@ -206,7 +219,7 @@ def _pair_up(target: DataFrame, source: DataFrame, rule: LoadRule, how: str) ->
         # Rows with a NULL key match nothing; the hash of their columns spreads them over the partitions.
         no_key = any_of([F.col(k).isNull() for k in keys])
         spread = F.when(no_key, F.xxhash64(*df.columns)).otherwise(F.lit(0))
-        join_keys = [F.trim(F.col(k).cast("string")) if rule.trim_key else F.col(k) for k in keys]
+        join_keys = [rule.matched(k) for k in keys]
         return df.select(*[k.alias(f"_k{i}") for i, k in enumerate(join_keys)], spread.alias("_spread"), row.alias(name))
 
     on = [*(f"_k{i}" for i in range(len(rule.keys))), "_spread"]
@@ -237,6 +250,7 @@ def change_set(target: DataFrame, source: DataFrame, rule: LoadRule) -> DataFram
 def apply_changes(target: DataFrame, delta: DataFrame, rule: LoadRule) -> DataFrame:
     """The merged table from the target and a change set taken against it."""
     written = delta.select(*target.columns)
+    # An updated row keeps the target's key, so it is found by that very value.
     updated = delta.filter("_op = 'UPDATE'").select(*rule.keys)
     return target.join(updated, list(rule.keys), "left_anti").select(*target.columns).unionAll(written)
 

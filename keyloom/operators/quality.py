@@ -36,8 +36,8 @@ class Expectations:
 def issues(df: DataFrame, expected: Expectations) -> DataFrame:
     """One row per violated expectation: issue, column, found (a count or a ratio as text).
 
-    All row-level checks share one aggregate; uniqueness adds one grouping by the key. Missing
-    columns are known from the schema.
+    All checks share one pass and one shuffle: with a unique column the rows are first counted per key,
+    on the map side too, together with what the other checks count. Missing columns are known from the schema.
     """
     spark = df.sparkSession
     have = set(df.columns)
@@ -69,6 +69,8 @@ def issues(df: DataFrame, expected: Expectations) -> DataFrame:
             ratio = F.col(f"_ratio_{c}") / F.nullif(F.col("rows"), F.lit(0))
             findings.append(("null_ratio", c, ratio > limit, F.round(ratio, 4)))
 
+    if expected.unique in have:
+        findings.append(("duplicate", expected.unique, F.col("_repeated") > 0, F.col("_repeated")))
     rows = F.array(
         *[
             F.struct(
@@ -80,13 +82,13 @@ def issues(df: DataFrame, expected: Expectations) -> DataFrame:
             for issue, column, test, found in findings
         ]
     )
-    report = df.agg(*measures).select(F.inline(rows)).filter("hit").drop("hit")
     if expected.unique in have:
-        per_key = df.groupBy(expected.unique).agg(F.count("*").alias("n"))
-        repeated = per_key.agg(F.sum(F.col("n") - 1).alias("n")).filter("n > 0")
-        report = report.unionAll(
-            repeated.select(F.lit("duplicate"), F.lit(expected.unique), F.col("n").cast("string"))
-        )
+        per_key = df.groupBy(F.col(expected.unique).alias("_key")).agg(*measures)
+        totals = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in per_key.columns if c != "_key"]
+        counted_rows = per_key.agg(*totals, F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("_repeated"))
+    else:
+        counted_rows = df.agg(*measures)
+    report = counted_rows.select(F.inline(rows)).filter("hit").drop("hit")
     if missing:
         report = report.unionAll(spark.createDataFrame(missing, report.schema))
     return report

@@ -12,7 +12,7 @@ from keyloom.operators.dedupe import (
     split_by_key,
     whole_row_distinct,
 )
-from keyloom.functions.text import clean_digits
+from keyloom.functions.text import clean_digits, collated, collation_key
 from keyloom.operators.matching import existence_flags, skew_join
 from keyloom.operators.quality import fill_profile, null_ratios, readiness
 from keyloom.operators.usage import closed_periods, monthly_usage
@@ -174,7 +174,7 @@ def ratios(t):
 
 @query("A8_counts", "SELECT count(*) AS rows, count(DISTINCT user_id) AS distinct_keys FROM events")
 def counts(t):
-    return refresh_counts(t.events, "user_id")
+    return refresh_counts(t.events, "user_id").select("rows", "distinct_keys")
 
 
 @query(
@@ -381,3 +381,20 @@ def by_nation(t):
     placed = skew_join(per_supplier, suppliers, "s_suppkey", "inner")
     sums = placed.groupBy("n_nationkey", "y").agg(F.sum("s").alias("total"))
     return skew_join(sums, t.nation.select("n_nationkey", "n_name"), "n_nationkey", "inner").select("n_name", "y", "total")
+
+
+@query(
+    "D1_collated_keep_last",
+    """
+    SELECT lower(rtrim(k)) AS k, o_orderkey FROM (SELECT *, row_number() OVER (PARTITION BY lower(rtrim(k)) ORDER BY o_orderkey DESC) AS rn FROM (
+      SELECT CASE o_orderstatus WHEN 'F' THEN 'Clerk-' WHEN 'O' THEN 'CLERK-' ELSE 'clerk-' END || o_custkey
+             || CASE WHEN o_orderkey % 2 = 0 THEN '  ' ELSE '' END AS k, o_orderkey FROM orders)) WHERE rn = 1
+    """,
+)
+def collated_keep_last(t):
+    """One row per key where case and trailing blanks make no key of their own."""
+    status = F.col("o_orderstatus")
+    head = F.when(status == "F", "Clerk-").when(status == "O", "CLERK-").otherwise("clerk-")
+    key = F.concat(head, F.col("o_custkey").cast("string"), F.when(F.col("o_orderkey") % 2 == 0, "  ").otherwise(""))
+    one = keep_one(t.orders.select(collated(key).alias("k"), "o_orderkey"), ["k"], [F.col("o_orderkey").desc()], total=False)
+    return one.select(collation_key("k").cast("string").alias("k"), "o_orderkey")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from keyloom.functions.rules import fill_if_blank, fingerprint, money, resolve_option
-from keyloom.functions.text import strip_unicode
+from keyloom.functions.text import collated, strip_unicode
 from keyloom.operators.dedupe import differing_rows
 from keyloom.operators.matching import (
     existence_flags,
@@ -355,3 +355,14 @@ def fill_blank(t):
     joined = skew_join(customers, _answers(t), "k")
     filled = fill_if_blank(fill_if_blank(joined, "v", "base"), "extra", "option")
     return filled.select("k", "v", "extra")
+
+
+@query(
+    "J14_collated_join",
+    "SELECT o_orderkey, c_custkey FROM orders JOIN customer ON lower(rtrim('Customer ' || o_custkey || '  ')) = lower('CUSTOMER ' || c_custkey)",
+)
+def collated_join(t):
+    """Keys compared without regard to case and trailing blanks, by the join itself."""
+    orders = t.orders.select("o_orderkey", collated(F.concat(F.lit("Customer "), "o_custkey", F.lit("  "))).alias("k"))
+    customers = t.customer.select("c_custkey", collated(F.concat(F.lit("CUSTOMER "), "c_custkey")).alias("k"))
+    return orders.join(customers, "k").select("o_orderkey", "c_custkey")

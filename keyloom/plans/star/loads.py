@@ -21,13 +21,15 @@ from keyloom.operators.keyed_load import (
 from keyloom.operators.matching import skew_join
 from keyloom.operators.quality import Expectations, empty_samples, fill_profile, issues
 from keyloom.operators.settlement import CREDIT_TYPE, LUMP_SUM_TYPE, settle
+from keyloom.plans import printer_usage
 from keyloom.plans.fixed_values import REGISTRATION_TYPES
 from keyloom.plans.star.aggregates import PROFILED_SQL, READY_SQL, USAGE_SQL, _profiled, usage
 from keyloom.plans.star.aggregates import ready as readiness_row
 from keyloom.plans.star.registry import ORACLE, query
 from keyloom.session import materialize, new_run_folder
 from keyloom.sources.keyed_table import KeyedTable
-from keyloom.sources.snapshots import blank_values_to_null, refresh_counts
+from keyloom.sources.quoted import read_quoted_export
+from keyloom.sources.snapshots import REPLACED, SnapshotTable, blank_values_to_null, refresh_counts
 
 CUTOFF = "1996-01-01"
 
@@ -394,6 +396,22 @@ def table_purge(t):
     return table.read().select(F.col("k").cast("long").alias("k"), "status")
 
 
+@query(
+    "L1_caseless_load",
+    """
+    WITH t AS (SELECT 'Key-' || c_custkey || '  ' AS k, c_mktsegment AS segment FROM customer WHERE c_custkey % 3 <> 0),
+         s AS (SELECT lower(c_name) AS name, ' KEY-' || c_custkey AS k FROM customer)
+    SELECT coalesce(t.k, s.k) AS k, coalesce(s.name, t.segment) AS segment FROM t FULL JOIN s ON lower(trim(t.k)) = lower(trim(s.k))
+    """,
+)
+def caseless_table_load(t):
+    """Keys that differ in case and in blanks around them meet in one bucket and are one key."""
+    key = F.col("c_custkey").cast("string")
+    target = t.customer.filter("c_custkey % 3 <> 0").select(F.concat(F.lit("Key-"), key, F.lit("  ")).alias("k"), F.col("c_mktsegment").alias("segment"))
+    source = t.customer.select(F.concat(F.lit(" KEY-"), key).alias("k"), F.lower("c_name").alias("segment"))
+    return _loaded(t, target, source, guarded("k", caseless=True), caseless=True)
+
+
 # --- refresh, checks, audit ---
 
 
@@ -411,6 +429,63 @@ def refresh_report(t):
     return refresh_counts(newest, "o_custkey").select(before.alias("before"), "rows", "distinct_keys")
 
 
+NEWEST_ORDER_SQL = """
+    SELECT o_custkey AS custkey, CAST(o_orderkey AS VARCHAR) AS last_order, nullif(o_orderstatus, 'P') AS status FROM (
+      SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey DESC) AS rn FROM orders) WHERE rn = 1
+"""
+
+
+def _refreshed(t, apply: bool):
+    """Customers with their first order, refreshed by their newest, whose columns are named otherwise and hold blanks."""
+    table = SnapshotTable(t.spark, new_run_folder(t.spark, "snapshot"))
+    orders = t.orders.select("o_custkey", "o_orderkey", "o_orderstatus")
+    first = keep_one(orders, ["o_custkey"], [F.col("o_orderkey")], total=False)
+    table.create(first.select(F.col("o_custkey").alias("custkey"), F.col("o_orderkey").cast("string").alias("last_order"), F.col("o_orderstatus").alias("status")))
+    newest = keep_one(orders, ["o_custkey"], [F.col("o_orderkey").desc()], total=False)
+    status = F.replace("o_orderstatus", F.lit("P"), F.lit(" "))
+    newest = newest.select(status.alias("STATUS"), F.col("o_custkey").alias("CustKey"), F.col("o_orderkey").cast("string").alias("Last Order"))
+    return table, table.refresh(newest.withColumnRenamed("Last Order", "last_order"), "custkey", apply=apply)
+
+
+@query("S9_replace", NEWEST_ORDER_SQL)
+def replaced_snapshot(t):
+    """The table after a refresh that verified the content written."""
+    table, report = _refreshed(t, apply=True)
+    if report.status != REPLACED:
+        raise AssertionError(f"the refresh ended with {report.status}")
+    return table.read()
+
+
+@query(
+    "V11_dry_run",
+    """
+    SELECT 'dry_run' AS status, count(DISTINCT o_custkey) AS before, count(DISTINCT o_custkey) AS incoming,
+           (SELECT sum(k) FROM (SELECT min(o_orderkey) AS k FROM orders GROUP BY o_custkey)) AS untouched FROM orders
+    """,
+)
+def dry_run(t):
+    """What a refresh would do; the table keeps its rows."""
+    table, report = _refreshed(t, apply=False)
+    kept = table.read().agg(F.sum(F.col("last_order").cast("long")).alias("untouched"))
+    return kept.select(F.lit(report.status).alias("status"), F.lit(report.before).alias("before"), F.lit(report.incoming).alias("incoming"), "untouched")
+
+
+@query(
+    "S4_text_export",
+    """
+    SELECT CAST(doc_id AS VARCHAR) AS doc_id, nullif(lang, '') AS lang,
+           nullif(replace(text, chr(13), ' '), '') AS note FROM documents
+    """,
+)
+def text_export(t):
+    """Whole texts, line breaks and quotes included, written as an export and read back in ranges."""
+    folder = new_run_folder(t.spark, "export")
+    note = F.replace("text", F.lit("\r"), F.lit(" ")).alias("note")
+    rows = t.documents.select(F.col("doc_id").cast("string").alias("doc_id"), "lang", note)
+    rows.write.options(header=True, quoteAll=True, escape='"', emptyValue="").csv(folder)
+    return read_quoted_export(t.spark, folder)
+
+
 @query(
     "S9_blank_to_null",
     """
@@ -449,6 +524,21 @@ def line_issues(t):
     )
 
 
+@query(
+    "V3_issues",
+    f"""
+    SELECT 'null' AS issue, 'user_name' AS "column", CAST(count_if(user_name IS NULL) AS VARCHAR) AS found FROM (
+      SELECT nullif(user_name, (SELECT min(user_name) FROM ({USAGE_SQL}))) AS user_name FROM ({USAGE_SQL}))
+    UNION ALL SELECT 'missing_column', unnest(['department', 'full_name', 'office']), '0'
+    """,
+)
+def usage_issues(t):
+    """The usage fact's checks, with one user's name missing; the star's rollup has no such personal columns."""
+    rows = usage(t)
+    least = rows.agg(F.min("user_name")).scalar()
+    return issues(rows.withColumn("user_name", F.nullif(F.col("user_name"), least)), printer_usage.EXPECTED)
+
+
 @query(
     "V2_issues",
     f"""

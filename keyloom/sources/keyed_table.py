@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from keyloom.functions.rules import all_of, any_of
 from keyloom.functions.schema import shared_columns
+from keyloom.functions.text import collation_key
 from keyloom.operators.dedupe import require_unique
 from keyloom.operators.keyed_load import (
     ROW_ORDER,
@@ -85,7 +86,8 @@ def row_print(columns: Sequence[Column], names: Sequence[str]) -> Column:
 
 
 class KeyedTable:
-    """``keys`` set the buckets; ``text_keys`` hashes their trimmed text, for loads that trim keys.
+    """``keys`` set the buckets; ``text_keys`` hashes their trimmed text, for loads that trim keys, and ``caseless`` their
+    trimmed lower-case text, for loads that disregard case.
 
     ``ranged`` columns have their least and greatest value kept per segment (the keys, if not given). ``fingerprint``
     names the columns an exact load compares, all of them and no others, if hashes are to be kept.
@@ -100,8 +102,9 @@ class KeyedTable:
         text_keys: bool = False,
         ranged: Sequence[str] | None = None,
         fingerprint: Sequence[str] = (),
+        caseless: bool = False,
     ):
-        self.spark, self.keys, self.buckets, self.text_keys = spark, list(keys), buckets, text_keys
+        self.spark, self.keys, self.buckets, self.text_keys, self.caseless = spark, list(keys), buckets, text_keys, caseless
         self.ranged, self.fingerprint = list(keys if ranged is None else ranged), list(fingerprint)
         self.path = path.rstrip("/")
         self.rows_path, self.prints_path = f"{self.path}/rows", f"{self.path}/prints"
@@ -136,7 +139,7 @@ class KeyedTable:
 
     def _range_columns(self, schema: T.StructType) -> list[T.StructField]:
         wanted = {c.lower() for c in self.ranged}
-        text = {k.lower() for k in self.keys} if self.text_keys else set()
+        text = {k.lower() for k in self.keys} if self.text_keys or self.caseless else set()
         return [T.StructField(f.name, T.StringType() if f.name.lower() in text else f.dataType) for f in schema if f.name.lower() in wanted]
 
     def _segment_schema(self, schema: T.StructType) -> T.StructType:
@@ -156,8 +159,14 @@ class KeyedTable:
         return [F.struct(*lo).alias("lo"), F.struct(*hi).alias("hi"), F.struct(*nulls).alias("nulls")]
 
     def _key_value(self, column: str, field: T.StructField) -> Column:
-        trimmed = self.text_keys and field.name.lower() in {k.lower() for k in self.keys}
-        return F.trim(F.col(column).cast("string")) if trimmed else F.col(column).cast(field.dataType)
+        is_key = field.name.lower() in {k.lower() for k in self.keys}
+        return self._plain(column, field.dataType) if is_key else F.col(column).cast(field.dataType)
+
+    def _plain(self, key: str, data_type: T.DataType) -> Column:
+        """A key as buckets and ranges see it: equal for keys that a load takes for equal."""
+        if self.caseless:
+            return collation_key(F.trim(F.col(key).cast("string")))
+        return F.trim(F.col(key).cast("string")) if self.text_keys else F.col(key).cast(data_type)
 
     def _commit(self, base: Version, segments: DataFrame | None) -> int:
         """Make ``segments``, with the schema of ``base``, the table, if nobody has committed since."""
@@ -191,10 +200,7 @@ class KeyedTable:
     def _bucket_of(self, df: DataFrame, keys: list[str], schema: T.StructType | None = None) -> DataFrame:
         # Keys hash in the table's types; NULL keys of an insert-only table hash like any other value.
         types = {f.name.lower(): f.dataType for f in schema or self.schema() or df.schema}
-        parts = [
-            F.trim(F.col(k).cast("string")) if self.text_keys else F.col(k).cast(types[own.lower()])
-            for k, own in zip(keys, self.keys, strict=True)
-        ]
+        parts = [self._plain(k, types[own.lower()]) for k, own in zip(keys, self.keys, strict=True)]
         return df.withColumn(BUCKET, F.pmod(F.xxhash64(*parts), F.lit(self.buckets)).cast("int"))
 
     def _write(self, df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -302,8 +308,10 @@ class KeyedTable:
         """Upsert ``source``; columns the table lacks are added, as text for a guarded load."""
         if [k.lower() for k in rule.keys] != [k.lower() for k in self.keys]:
             raise ValueError(f"the table is bucketed by {self.keys}, not by {list(rule.keys)}")
-        if rule.trim_key and not self.text_keys:
+        if rule.trim_key and not (self.text_keys or self.caseless):
             raise ValueError("a load with trimmed keys needs a table with text_keys=True")
+        if rule.caseless and not self.caseless:
+            raise ValueError("a load that disregards case needs a table with caseless=True")
         fields = text_schema(source, rule.keys[0]) if rule.compare == "guarded" else source.schema
         base, new = self._widened(T.StructType([f for f in fields if f.name not in rule.ignore]))
         empty = self.spark.createDataFrame([], base.schema)
@@ -311,11 +319,11 @@ class KeyedTable:
         s_keys = [source_of[k] for k in rule.keys]
         usable = usable_source(source, LoadRule(tuple(s_keys), trim_key=rule.trim_key))
         # Keys repeat if the join takes them for equal.
-        matched = [F.trim(F.col(k).cast("string")) if rule.trim_key else F.col(k) for k in s_keys]
+        matched = [rule.matched(k) for k in s_keys]
         staged, arriving, ranged = self._staged(usable, base, s_keys, matched, rule.keys, source_of)
         totals = arriving.agg(F.sum("rows"), F.max("most")).first()
         if (totals[1] or 0) > 1:
-            require_unique(staged, s_keys, rule.trim_key)
+            require_unique(staged, s_keys, rule.trim_key, rule.caseless)
         segments = self.segments(base)
         near = materialize(self.reached(segments, arriving, ranged, null_safe=False), "reached")
         if self.fingerprint and rule.compare == "exact" and set(compared_columns(empty, source, rule)) == set(self.fingerprint):

@@ -12,10 +12,12 @@ from keyloom.sources.audit_log import append_events, hand_over, read_events
 from keyloom.sources.keyed_table import KeyedTable
 from keyloom.sources.snapshots import (
     COLUMN_MISMATCH,
+    CONTENT_DIFFERS,
     DRY_RUN,
     KEY_REPEATS,
     REPLACED,
     SnapshotTable,
+    content_sums,
 )
 from keyloom.streaming.incremental import drain_inserts, drain_upserts
 
@@ -169,6 +171,33 @@ def test_snapshot_refuses_bad_refreshes(spark, snapshot):
     assert snapshot.read().count() == 1
 
 
+@pytest.mark.parametrize("swap", [("a", "b"), ("b", "a")])
+def test_snapshot_notices_swapped_cells(spark, folder, monkeypatch, swap):
+    table = SnapshotTable(spark, f"{folder}/s")
+    table.create(source(spark, [("1", "x", None)], "k string, a string, b string"))
+    new = source(spark, [("1", "p", None), ("2", "q", "r"), ("3", "t", "t")], "k string, a string, b string")
+    kept = SnapshotTable.read
+
+    def swapped(self, version=None):
+        df = kept(self, version)
+        return df if version is None else df.withColumnsRenamed(dict(zip(("a", "b"), swap, strict=True)) if swap == ("a", "b") else {"a": "b", "b": "a"}).select("k", "a", "b")
+
+    monkeypatch.setattr(SnapshotTable, "read", swapped)
+    status = table.refresh(new, "k", apply=True).status
+    assert status == (REPLACED if swap == ("a", "b") else CONTENT_DIFFERS)
+    monkeypatch.undo()
+    assert table.read().count() == (3 if status == REPLACED else 1)
+
+
+def test_content_sums_see_rows_not_their_order(spark):
+    def sums(rows):
+        return tuple(source(spark, rows).repartition(3).agg(*content_sums(source(spark, rows))).first())
+
+    rows = [("1", "a"), ("2", None), (None, "2"), ("1", "a")]
+    assert sums(rows) == sums(rows[::-1]) != sums(rows[:3])
+    assert sums([("2", None)]) != sums([(None, "2")]) and sums([]) == (0, 0)
+
+
 def test_audit_log_and_hand_over(spark, folder):
     schema = "action string, old string, new string"
     append_events(source(spark, [("FIX", "ก", None)], schema), f"{folder}/audit")
