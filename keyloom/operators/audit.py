@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,8 @@ FILL_STATUS = "FILL_STATUS_FROM_STATUSNAME"
 FALLBACK_NAME = "FALLBACK_THAI_NAME"
 UPDATE = "UPDATE"
 SUMMARY = "SUMMARY"
+BATCH_SUMMARY = "BATCH_SUMMARY"
+FIXES = (FIX_EMAIL, FILL_STATUS, FALLBACK_NAME)
 
 EVENT_COLUMNS = ("ts", "run_id", "action", "key", "field", "old", "new")
 
@@ -62,6 +65,22 @@ def edits(
     return flat.select(F.lit(run_ts).alias("ts"), F.lit(run_id).alias("run_id"), *EVENT_COLUMNS[2:])
 
 
+def load_events(
+    changes: DataFrame, inserted: int, updated: int, per_bucket: Sequence[tuple[int, int, int]], target: str, run_id: str, run_ts: str
+) -> DataFrame:
+    """Events of a load: UPDATE per changed field, BATCH_SUMMARY per bucket it wrote, one SUMMARY.
+
+    ``changes`` holds key, field, old and new. A summary's ``new`` is JSON with the counts.
+    """
+    spark = changes.sparkSession
+    updates = changes.select(
+        F.lit(run_ts).alias("ts"), F.lit(run_id).alias("run_id"), F.lit(UPDATE).alias("action"), "key", "field", "old", "new"
+    )
+    counts = [(BATCH_SUMMARY, str(b), i, u) for b, i, u in per_bucket] + [(SUMMARY, target, inserted, updated)]
+    rows = [(run_ts, run_id, a, k, None, None, json.dumps({"inserted": i, "updated": u})) for a, k, i, u in counts]
+    return updates.unionAll(spark.createDataFrame(rows, ", ".join(f"{c} string" for c in EVENT_COLUMNS)))
+
+
 def run_summary(
     counts: DataFrame, subject: str, target: str, run_date: str, duration_sec: float = 0.0, batch_size: int | None = None
 ) -> DataFrame:

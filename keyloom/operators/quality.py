@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,6 +128,24 @@ def fill_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     )
 
 
+class FillTrace:
+    """How many rows pass named points of a plan, and how many have ``column`` filled, counted by the run of the plan itself."""
+
+    def __init__(self, column: str):
+        self.column = column
+        self.points: dict[str, Observation] = {}
+
+    def at(self, df: DataFrame, point: str) -> DataFrame:
+        """``df``, counted when it is first run. Use a point once."""
+        self.points[point] = Observation()
+        filled = _filled(df, self.column) if self.column in df.columns else F.lit(False)
+        return df.observe(self.points[point], F.count(F.lit(1)).alias("rows"), F.count_if(filled).alias("filled"))
+
+    def counts(self) -> dict[str, dict[str, int]]:
+        """Rows and filled per point; ask after the plan has run."""
+        return {name: {"rows": 0, "filled": 0, **seen.get} for name, seen in self.points.items()}
+
+
 def empty_samples(df: DataFrame, column: str, key: str, n: int = 10) -> DataFrame:
     """The first ``n`` keys whose column is blank."""
     return df.filter(is_blank(column)).select(F.col(key).cast("string").alias(key)).orderBy(key).limit(n)

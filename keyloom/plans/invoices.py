@@ -16,7 +16,9 @@ from keyloom.operators.keyed_load import overwrite
 from keyloom.operators.quality import Expectations, require
 from keyloom.operators.settlement import settle
 from keyloom.plans import fixed_values as V
+from keyloom.plans.runs import RunReport, run_job
 from keyloom.sources.keyed_table import KeyedTable, LoadResult
+from keyloom.sources.ledger import RunLedger
 
 EXPECTED = Expectations(
     required=V.INVOICE_SCHEMA.fieldNames(),
@@ -69,3 +71,18 @@ def check(df: DataFrame, allow_empty: bool = False) -> None:
 
 def load(df: DataFrame, table: KeyedTable) -> LoadResult:
     return table.load(df, overwrite("invoiceId", V.INVOICE_AUDITED))
+
+
+def run(
+    tables: Mapping[str, DataFrame],
+    table: KeyedTable,
+    ledger: RunLedger,
+    audit_path: str,
+    run_ts: str,
+    manual_paid: Sequence[str] = (),
+    excluded: Sequence[str] = (),
+) -> RunReport:
+    """Settle, clean, check and load as one run with a ledger."""
+    return run_job(
+        ledger, lambda: build(tables, manual_paid, excluded), transform, check, lambda rows: load(rows, table), "invoiceId", audit_path, run_ts
+    )

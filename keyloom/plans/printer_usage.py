@@ -12,7 +12,9 @@ from keyloom.functions.schema import cast_to
 from keyloom.operators.quality import Expectations, require
 from keyloom.operators.usage import closed_periods, monthly_usage
 from keyloom.plans import fixed_values as V
+from keyloom.plans.runs import RunReport, run_job
 from keyloom.sources.keyed_table import KeyedTable, LoadResult
+from keyloom.sources.ledger import RunLedger
 
 EXPECTED = Expectations(required=V.USAGE_SCHEMA.fieldNames(), not_null=["user_name"])
 
@@ -53,3 +55,21 @@ def load(df: DataFrame, table: KeyedTable, closed_before: tuple[int, int] | None
     """Append months the table lacks; ``closed_before`` (year, month) leaves unfinished months for later."""
     rows = closed_periods(df, *closed_before) if closed_before else df
     return table.append_new(rows, list(V.USAGE_KEYS))
+
+
+def run(
+    tables: Mapping[str, DataFrame],
+    table: KeyedTable,
+    ledger: RunLedger,
+    audit_path: str,
+    run_ts: str,
+    closed_before: tuple[int, int] | None = None,
+) -> RunReport:
+    """Roll up, check and append as one run with a ledger."""
+
+    def clean(rows: DataFrame) -> DataFrame:
+        return stamped(transform(rows), run_ts)
+
+    return run_job(
+        ledger, lambda: build(tables), clean, check, lambda rows: load(rows, table, closed_before), "user_name", audit_path, run_ts
+    )

@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from keyloom.functions.rules import code_map, money
-from keyloom.functions.text import clean_email
+from keyloom.functions.text import clean_digits, clean_email
 from keyloom.operators import audit
-from keyloom.operators.dedupe import keep_one
+from keyloom.operators.dedupe import keep_one, split_by_key
 from keyloom.operators.keyed_load import (
     apply_changes,
     change_rows,
@@ -23,11 +23,14 @@ from keyloom.operators.quality import Expectations, empty_samples, fill_profile,
 from keyloom.operators.settlement import CREDIT_TYPE, LUMP_SUM_TYPE, settle
 from keyloom.plans import printer_usage
 from keyloom.plans.fixed_values import REGISTRATION_TYPES
+from keyloom.plans.runs import report_row, run_job
 from keyloom.plans.star.aggregates import PROFILED_SQL, READY_SQL, USAGE_SQL, _profiled, usage
 from keyloom.plans.star.aggregates import ready as readiness_row
 from keyloom.plans.star.registry import ORACLE, query
 from keyloom.session import materialize, new_run_folder
+from keyloom.sources.audit_log import read_events
 from keyloom.sources.keyed_table import KeyedTable
+from keyloom.sources.ledger import RunLedger
 from keyloom.sources.quoted import read_quoted_export
 from keyloom.sources.snapshots import REPLACED, SnapshotTable, blank_values_to_null, refresh_counts
 
@@ -415,6 +418,119 @@ def caseless_table_load(t):
 # --- refresh, checks, audit ---
 
 
+# --- a whole run: customers with untidy keys and mails, loaded over those known before ---
+
+RUN_TS = "2024-03-01T08:00:00"
+RUN_SQL = """
+    WITH raw AS (SELECT c_custkey, CASE WHEN c_custkey % 10 = 7 THEN 'no number' ELSE ' ' || c_custkey % 1000 END AS code,
+                   CASE WHEN c_custkey % 2 = 0 THEN '<c' || c_custkey || '@mail.example>' ELSE 'c' || c_custkey || '@mail.example' END AS mail FROM customer),
+         good AS (SELECT *, trim(code) AS k, 'c' || c_custkey || '@mail.example' AS clean FROM raw WHERE code <> 'no number'),
+         one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY c_custkey DESC) AS rn FROM good) WHERE rn = 1),
+         known AS (SELECT k, CASE WHEN CAST(k AS INTEGER) % 3 = 0 THEN 'old' ELSE clean END AS mail FROM one WHERE CAST(k AS INTEGER) % 4 <> 0)
+"""
+
+
+def _run(t, rows=None):
+    """A run over the customers; gives its ledger, its report and the path of its audit lines."""
+    folder = new_run_folder(t.spark, "run")
+    key = F.col("c_custkey")
+    code = F.when(key % 10 == 7, "no number").otherwise(F.concat(F.lit(" "), (key % 1000).cast("string")))
+    mail = F.concat(F.lit("c"), key.cast("string"), F.lit("@mail.example"))
+    raw = t.customer.select(code.alias("code"), F.when(key % 2 == 0, F.concat(F.lit("<"), mail, F.lit(">"))).otherwise(mail).alias("mail"), key.alias("n"))
+
+    def clean(df):
+        good, bad = split_by_key(df, "code", clean_digits("code"))
+        events = audit.events(bad, audit.DROP_BAD_KEY, "code", "r1", RUN_TS)
+        fields = [(audit.FIX_EMAIL, "mail", F.col("mail"), clean_email("mail"))]
+        events = events.unionByName(audit.edits(good, "code", fields, "r1", RUN_TS))
+        one = keep_one(good.withColumn("mail", clean_email("mail")), ["code"], [F.col("n").desc()], total=False)
+        return one.select("code", "mail"), events
+
+    table = KeyedTable(t.spark, f"{folder}/table", ["code"], buckets=4, text_keys=True)
+    known = clean(raw)[0].filter("cast(code as int) % 4 <> 0")
+    table.fill(known.withColumn("mail", F.when(F.col("code").cast("int") % 3 == 0, "old").otherwise(F.col("mail"))))
+    ledger = RunLedger(t.spark, folder, "r1")
+    report = run_job(ledger, lambda: raw if rows is None else raw.limit(rows), clean, None, lambda df: table.load(df, guarded("code")), "code", f"{folder}/audit", RUN_TS)
+    return ledger, report, f"{folder}/audit"
+
+
+@query(
+    "A9_run_report",
+    RUN_SQL
+    + """
+    SELECT 'success' AS status, (SELECT count(*) FROM one) AS rows_total, (SELECT count(*) FROM one WHERE CAST(k AS INTEGER) % 4 = 0) AS inserted,
+           (SELECT count(*) FROM known WHERE mail = 'old') AS updated, (SELECT count(*) FROM good WHERE mail <> clean) AS fixed,
+           (SELECT count(*) FROM raw) - (SELECT count(*) FROM one) AS dropped, 'customers' AS target_table
+    """,
+)
+def run_report(t):
+    """All counts of a run, taken by the writes of its stages."""
+    ledger, report, _ = _run(t)
+    return report_row(ledger, report, "customers", "customers", RUN_TS).select(
+        "status", "rows_total", "inserted", "updated", "fixed", "dropped", "target_table"
+    )
+
+
+@query(
+    "V10_no_data",
+    "SELECT 'no_data' AS status, 'customers' AS subject, 0 AS rows_total, 0 AS inserted, 0 AS updated, count(*) - count(*) AS dropped FROM customer",
+)
+def no_data(t):
+    """A run whose source is empty ends early and loads nothing."""
+    ledger, report, _ = _run(t, rows=0)
+    row = report_row(ledger, report, "customers", "customers", RUN_TS)
+    return row.select("status", "subject", *[F.col(c).cast("int").alias(c) for c in ("rows_total", "inserted", "updated")], "dropped")
+
+
+@query(
+    "V7_run_events",
+    RUN_SQL
+    + """
+    SELECT 'DROP_ROW_BAD_KEY' AS action, code AS key, CAST(NULL AS VARCHAR) AS field, CAST(NULL AS VARCHAR) AS old, CAST(NULL AS VARCHAR) AS new FROM raw WHERE code = 'no number'
+    UNION ALL SELECT 'FIX_EMAIL', k, 'mail', mail, clean FROM good WHERE mail <> clean
+    UNION ALL SELECT 'UPDATE', known.k, 'mail', 'old', one.clean FROM known JOIN one USING (k) WHERE known.mail = 'old'
+    UNION ALL SELECT 'SUMMARY', 'code', NULL, NULL, '{"inserted": ' || (SELECT count(*) FROM one WHERE CAST(k AS INTEGER) % 4 = 0)
+      || ', "updated": ' || (SELECT count(*) FROM known WHERE mail = 'old') || '}'
+    """,
+)
+def run_events(t):
+    """The audit lines of a run, but those per bucket, whose numbers are hashes."""
+    _, _, path = _run(t)
+    schema = ", ".join(f"{c} string" for c in audit.EVENT_COLUMNS)
+    return read_events(t.spark, path, schema).filter(F.col("action") != audit.BATCH_SUMMARY).select(*audit.EVENT_COLUMNS[2:])
+
+
+@query(
+    "S10_append",
+    "SELECT 'NEW' AS action, count(*) AS lines, count(DISTINCT o_orderkey) AS keys FROM orders WHERE o_orderstatus = 'P'",
+)
+def appended_events(t):
+    """Events of a stage that is started twice are there once."""
+    folder = new_run_folder(t.spark, "run")
+    rows = audit.events(t.orders.filter("o_orderstatus = 'P'"), "NEW", "o_orderkey", "r1", RUN_TS)
+    for _ in range(2):
+        RunLedger(t.spark, folder, "r1").append_events("new", rows, f"{folder}/audit")
+    lines = read_events(t.spark, f"{folder}/audit", "action string, key string")
+    keys = lines.groupBy("action", "key").agg(F.count("*").alias("n"))
+    return keys.groupBy("action").agg(F.sum("n").alias("lines"), F.count("*").alias("keys"))
+
+
+@query(
+    "S5_hand_over",
+    "SELECT o_orderstatus AS status, count(*) AS orders, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total FROM orders GROUP BY 1",
+)
+def handed_over(t):
+    """A stage's rows, read back by a run that goes on where it broke off."""
+    folder = new_run_folder(t.spark, "run")
+    RunLedger(t.spark, folder, "r1").stage("extract", lambda: t.orders.select(F.col("o_orderstatus").alias("status"), money("o_totalprice").alias("price")))
+
+    def never():
+        raise AssertionError("a recorded stage is built again")
+
+    rows = RunLedger(t.spark, folder, "r1").stage("extract", never).rows
+    return rows.groupBy("status").agg(F.count("*").alias("orders"), F.sum("price").alias("total"))
+
+
 @query(
     "S9_refresh_report",
     """

@@ -16,7 +16,9 @@ from keyloom.operators.keyed_load import exact
 from keyloom.operators.matching import latest_match, skew_join
 from keyloom.operators.quality import Expectations, readiness, require
 from keyloom.plans import fixed_values as V
+from keyloom.plans.runs import RunReport, run_job
 from keyloom.sources.keyed_table import KeyedTable, LoadResult
+from keyloom.sources.ledger import RunLedger
 
 Inputs = Mapping[str, DataFrame]
 
@@ -128,3 +130,16 @@ def stamped(df: DataFrame, run_ts: str) -> DataFrame:
 
 def load(df: DataFrame, table: KeyedTable) -> LoadResult:
     return table.load(df, exact("student_id"))
+
+
+def run(
+    tables: Inputs, table: KeyedTable, ledger: RunLedger, audit_path: str, run_ts: str, min_rows: int = V.DIM_MIN_ROWS
+) -> RunReport:
+    """Build, check and load as one run with a ledger; ``ready`` says beforehand whether it should."""
+
+    def clean(rows: DataFrame) -> DataFrame:
+        return stamped(transform(rows), run_ts)
+
+    return run_job(
+        ledger, lambda: build(tables), clean, lambda df: check(df, min_rows), lambda df: load(df, table), "student_id", audit_path, run_ts
+    )

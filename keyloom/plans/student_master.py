@@ -18,7 +18,10 @@ from keyloom.operators.keyed_load import guarded
 from keyloom.operators.matching import skew_join
 from keyloom.plans import fixed_values as V
 from keyloom.plans.enrollment import merge_enrollment
+from keyloom.operators.quality import FillTrace
+from keyloom.plans.runs import RunReport, run_job
 from keyloom.sources.keyed_table import KeyedTable, LoadResult
+from keyloom.sources.ledger import RunLedger
 
 Inputs = Mapping[str, DataFrame]
 
@@ -135,20 +138,28 @@ class Cleaned(NamedTuple):
     audit: DataFrame
 
 
+TRACED = "studentstatus"
+
+
 def transform(
-    master: DataFrame, answers: DataFrame | None = None, run_id: str = "", run_ts: str = ""
+    master: DataFrame, answers: DataFrame | None = None, run_id: str = "", run_ts: str = "", trace: FillTrace | None = None
 ) -> Cleaned:
     """Enrich, reject unusable keys, clean mail and names, keep one row per student.
 
     Old and new values of an audit event come from the same row. Of several rows with one code the
-    greatest by all columns is kept, so that reruns agree.
+    greatest by all columns is kept, so that reruns agree. ``trace`` counts the rows at five points.
     """
-    df = normalize_columns(master)
+
+    def point(df: DataFrame, name: str) -> DataFrame:
+        return df if trace is None else trace.at(df, name)
+
+    df = point(normalize_columns(master), "after_normalize")
     if V.MASTER_KEY not in df.columns:
         return Cleaned(df, audit.events(df.limit(0), audit.DROP_BAD_KEY, df.columns[0], run_id, run_ts))
     if answers is not None:
-        df = merge_enrollment(df, answers)
+        df = point(merge_enrollment(df, answers), "after_enrollment")
     good, bad = split_by_key(df, V.MASTER_KEY, clean_digits(V.MASTER_KEY))
+    good = point(good, "after_drop_keys")
     rejected = audit.events(bad, audit.DROP_BAD_KEY, V.MASTER_KEY, run_id, run_ts)
 
     fields, new = [], {}
@@ -166,7 +177,20 @@ def transform(
     if fields:
         trail = rejected.unionByName(audit.edits(good, V.MASTER_KEY, fields, run_id, run_ts))
     edited = fill_null_from_sibling(good.withColumns(new) if new else good, "studentstatus", "studentstatusname")
-    return Cleaned(keep_one(edited, [V.MASTER_KEY], []), trail)
+    edited = point(edited, "after_fill_status")
+    return Cleaned(point(keep_one(edited, [V.MASTER_KEY], []), "final"), trail)
+
+
+def run(
+    tables: Mapping[str, DataFrame], answers: DataFrame | None, table: KeyedTable, ledger: RunLedger, audit_path: str, run_ts: str
+) -> RunReport:
+    """Extract, clean, load, each written once; the summary counts fixed and dropped rows and traces the status."""
+    trace = FillTrace(TRACED)
+
+    def clean(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        return transform(rows, answers, ledger.run_id, run_ts, trace)
+
+    return run_job(ledger, lambda: build(tables), clean, None, lambda rows: load(rows, table), V.MASTER_KEY, audit_path, run_ts, trace)
 
 
 def load(rows: DataFrame, table: KeyedTable, ignore: Sequence[str] = ()) -> LoadResult:

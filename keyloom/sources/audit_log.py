@@ -11,7 +11,7 @@ def append_events(events: DataFrame, path: str) -> None:
 
 
 def read_events(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).json(path)
+    return spark.read.schema(schema).option("recursiveFileLookup", True).json(path)
 
 
 def hand_over(df: DataFrame, folder: str, run_id: str, stage: str) -> DataFrame:

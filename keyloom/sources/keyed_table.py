@@ -47,7 +47,10 @@ MOST_SEGMENTS = 16
 
 @dataclass(frozen=True)
 class LoadResult:
-    """What a load did; ``segments_read`` of ``segments_total`` segments were asked for keys."""
+    """What a load did; ``segments_read`` of ``segments_total`` segments were asked for keys.
+
+    ``per_bucket`` has (bucket, inserted, updated) of the buckets it wrote.
+    """
 
     inserted: int
     updated: int
@@ -56,6 +59,7 @@ class LoadResult:
     version: int = 0
     segments_read: int = 0
     segments_total: int = 0
+    per_bucket: tuple[tuple[int, int, int], ...] = ()
 
 
 @dataclass(frozen=True)
@@ -352,6 +356,7 @@ class KeyedTable:
             number,
             near.count(),
             segments.count(),
+            tuple(sorted((b, r["inserted"], r["updated"]) for b, r in written.items())),
         )
 
     def differing(self, staged: DataFrame, base: Version, near: DataFrame, source_of: dict[str, str], s_keys: list[str]) -> DataFrame:
