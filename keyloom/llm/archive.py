@@ -8,6 +8,10 @@ Of records with equal payloads of at least ``MIN_REVISIT`` bytes, that with the
 by address, then by row) is a ``response`` and the others are ``revisit`` records, which refer to it and carry
 no payload of their own. Smaller payloads are all responses. A null payload is empty. Reading verifies every
 payload against its digest and length and fails on the first that differs.
+
+Records carry the mandatory fields of WARC/1.1; the pages name no capture date, so it is a parameter. A payload is kept
+whole, whatever its length. A null id or address has no field and reads back as null, so does an empty address. Rows with
+equal ids are records of their own. An empty table makes an empty archive. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -18,6 +22,9 @@ from pyspark.sql import functions as F
 from keyloom.llm.common import bucketed, utf8, written
 
 MIN_REVISIT = 100
+# Fixed value: how a revisit says that its payload is that of an earlier record.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+CAPTURED = "1970-01-01T00:00:00Z"
 CRLF = "\r\n"
 VERSION = "WARC/1.1"
 
@@ -34,7 +41,9 @@ def field(name: str, value: Column) -> Column:
     return F.concat(F.lit(f"{name}: "), F.regexp_replace(value, "[\\r\\n]", " "), F.lit(CRLF))
 
 
-def write_archive(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> tuple[DataFrame, DataFrame, str]:
+def write_archive(
+    pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", captured: str = CAPTURED
+) -> tuple[DataFrame, DataFrame, str]:
     """The archive of ``pages``: its headers, its payloads and the payloads' folder."""
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), utf8(html).alias("payload"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
@@ -50,6 +59,8 @@ def write_archive(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     lines = [
         field("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
         field("WARC-Record-ID", F.concat(F.lit("<"), record_id(F.col("row")), F.lit(">"))),
+        field("WARC-Date", F.lit(captured)),
+        field("WARC-Profile", F.when(revisit, PROFILE)),
         field("WARC-Target-URI", F.col("url")),
         field("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
         field("X-Payload-Length", F.col("length").cast("string")),

@@ -18,7 +18,8 @@ that stand directly before a control string or at the value's end. A control str
 of backslashes precede it; so any value, backslashes and control strings included, reads back unchanged.
 
 Null text and null role are empty, null conversation ids are one conversation, null turns come first; rows
-with equal turns go by role, then text; repeated rows are turns of their own.
+with equal turns go by role, then text; repeated rows are turns of their own. Texts are formatted whole, whatever their
+length. Other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations

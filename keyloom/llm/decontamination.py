@@ -4,12 +4,13 @@ A word is a run of digits, letters a-z (A-Z lower-cased) and non-ASCII character
 consecutive words of a benchmark item, or the whole item if it has fewer (but any). Windows are kept as
 rolling hashes of word numbers; a hash hit is verified word by word before it counts.
 
-The set is broadcast in blocks of at most ``BLOCK_BYTES`` of benchmark text (one item is never split). A
+The set is broadcast in blocks of about ``BLOCK_BYTES`` of benchmark text (items are dealt by hash, none is split). A
 benchmark beyond one block is scanned block after block, and what earlier blocks found is carried along in a
 written table, so the broadcast never grows with the benchmark.
 
 Nulls and texts without words have no windows and no hits. Repeated items count once by ``item_id``; a null
-``item_id`` reads as the empty string. Other columns of either table do not matter.
+``item_id`` reads as the empty string. Other columns of either table do not matter. Texts are scanned whole. An empty
+table gives an empty result, an empty benchmark no hits.
 """
 
 from __future__ import annotations

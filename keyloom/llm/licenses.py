@@ -10,7 +10,8 @@ Two windows meet in a band only if they share a shingle, so windows without any
 before hashing; nothing is lost by that. ``bands_for`` gives the number of bands for which a window with a
 wanted similarity collides with a wanted probability.
 
-Null and empty texts match nothing. Rows with equal id and text count as one. Templates are a bounded
+Null and empty texts match nothing. Texts are scanned whole, other columns are ignored, an empty table gives an empty
+result. Rows with equal id and text count as one. Templates are a bounded
 table, checked by ``MAX_TEMPLATE_KEYS``, and broadcast.
 """
 

@@ -12,7 +12,8 @@ Targets: sources in code-point order (null last) weigh ``weights`` in turn and s
 target stops at ``cap`` times its source's size and the excess is shared again by weight.
 
 A null or empty text has size 0: it belongs to its source, is taken with complete epochs, and adds nothing.
-Rows that agree in id, source and text share a key and follow each other; reruns agree.
+Rows that agree in id, source and text share a key and follow each other; reruns agree. Long texts count with all their
+words. An empty table gives an empty result. Other columns are kept by ``mix_documents``, whatever their names.
 """
 
 from __future__ import annotations

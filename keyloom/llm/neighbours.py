@@ -9,7 +9,8 @@ reranked by its exact inner product only if estimate plus bound reaches the k-th
 Queries go in blocks of about ``QUERY_BLOCK`` rows, each broadcast and run over all codes; a task keeps the k
 best per query. Vectors that are null, empty, zero, or hold nulls or non-finite numbers take no part, nor
 do vectors of another length than most (of equally frequent lengths, the larger) and null ids. An id that
-repeats counts once, with the smallest of its vectors. Extra columns are ignored.
+repeats counts once, with the smallest of its vectors. Equal scores go by id. Extra columns are ignored, an empty table
+gives an empty result.
 """
 
 from __future__ import annotations

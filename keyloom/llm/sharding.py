@@ -8,7 +8,8 @@ All versions stay in a table (version, slot, shard, bytes, rows).
 A slot that alone outweighs an eighth of a shard (one record repeated by a third of all rows, say) is dealt
 over all slots again, by the rows' own numbers. Loads and map have a row per slot, whatever the input. Columns of the input that are named like an
 added one stay; the added one then gets an underscore.
-Nulls hash like any value. Repeated rows are rows of their own. Empty input gives an empty result.
+Nulls hash like any value. Long texts count with all their bytes. Repeated rows are rows of their own, and equal texts may go
+to different shards: only sizes are balanced. Empty input gives an empty result.
 """
 
 from __future__ import annotations

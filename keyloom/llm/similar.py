@@ -26,6 +26,7 @@ Sets of similarity J or more differ in at most a third of either's size n (J = 0
 Equal texts are one node (the upper 64 bits of their SHA-256; two texts that share them stop the job).
 Null texts and texts without words have empty sets and link with nothing, not even with each other. Repeated
 and null ids are allowed: a component's name is its smallest id, null only if all are. Extra columns are ignored.
+Texts are shingled whole, whatever their length. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ an earlier one can be trusted on unseen text. The thresholds come from out-of-fo
 Training uses at most about ``MAX_LABELLED`` labelled rows, chosen by a hash of the id; scoring reads every
 document whole. A category without both kinds of rows predicts its rate. Null and empty texts have no words;
 they are never rejected. Unlabelled and repeated labels: null labels are left out, of several the larger counts.
-Columns of the input are kept, whatever their names.
+Columns of the input are kept, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
