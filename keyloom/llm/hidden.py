@@ -25,6 +25,7 @@ both models. A table without rows gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -71,35 +72,47 @@ def tokenized(docs: DataFrame) -> DataFrame:
         nothing = [pa.nulls(n, schema.field(c).type) for c in ("word", "place", "n")]
         return pa.RecordBatch.from_arrays([pa.array([chunk] * n, pa.int64()), pa.array(ids, pa.int64()), pa.array(held, pa.bool_()), pa.array(tokens, pa.binary()), *nothing], schema=schema)
 
-    def words(chunk: int, places: dict[bytes, int], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        found = [None, *places]  # place 0 is the end
+    def words(chunk: int, places: dict, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        found = list(places)
         for at in range(0, len(found), 20000):
             part = found[at : at + 20000]
             nothing = [pa.nulls(len(part), schema.field(c).type) for c in ("doc_id", "held_out", "tokens")]
             own = [pa.array(part, pa.binary()), pa.array(np.arange(at, at + len(part), dtype=np.int32)), pa.array(counts[at : at + len(part)])]
             yield pa.RecordBatch.from_arrays([pa.array([chunk] * len(part), pa.int64()), *nothing, *own], schema=schema)
 
+    def empty() -> tuple[defaultdict, np.ndarray]:
+        places: defaultdict = defaultdict()
+        places.default_factory = places.__len__  # a new word gets the next place
+        places[None] = 0  # the end
+        return places, np.zeros(0, np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, places, counts, rows, size, held = None, {}, np.zeros(1, np.int64), [], 0, 0
+        (places, counts), chunk, rows, size, held = empty(), None, [], 0, 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal counts
+            seen = [np.frombuffer(t, np.int32) for _, out, t in rows if not out]
+            new = np.bincount(np.concatenate(seen), minlength=len(places)) if seen else np.zeros(len(places), np.int64)
+            new[: len(counts)] += counts
+            counts = new
+            return texts(chunk, rows)
+
         for whole in batches:
             for at in range(0, len(whole), 64):
                 for row in whole.slice(at, 64).to_pylist():
                     chunk = row["row"] if chunk is None else chunk
-                    new = np.array([places.setdefault(w, len(places) + 1) for w in row["bytes"].lower().split()] + [0], np.int32)
-                    if len(counts) <= len(places):
-                        counts = np.concatenate([counts, np.zeros(len(places) + 1, np.int64)])
-                    if not row["held_out"]:
-                        np.add.at(counts, new, 1)
-                    rows.append((row["doc_id"], row["held_out"], new.tobytes()))
-                    size, held = size + len(row["bytes"]), held + new.nbytes
+                    split = [*row["bytes"].lower().split(), None]
+                    tokens = np.fromiter(map(places.__getitem__, split), np.int32, len(split)).tobytes()
+                    rows.append((row["doc_id"], row["held_out"], tokens))
+                    size, held = size + len(row["bytes"]), held + len(tokens)
                     if held > 4 << 20 or size > CHUNK:
-                        yield texts(chunk, rows)
+                        yield flush()
                         rows, held = [], 0
                     if size > CHUNK:
                         yield from words(chunk, places, counts)
-                        chunk, places, counts, size = None, {}, np.zeros(1, np.int64), 0
+                        (places, counts), chunk, size = empty(), None, 0
         if rows:
-            yield texts(chunk, rows)
+            yield flush()
         if chunk is not None:
             yield from words(chunk, places, counts)
 
