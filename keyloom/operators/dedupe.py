@@ -77,6 +77,14 @@ def require_unique(df: DataFrame, keys: Sequence[str], trim: bool = False, casel
         raise ValueError(f"duplicate keys {list(keys)}: {[tuple(r) for r in sample]}")
 
 
+def require_single_rows(df: DataFrame, key: str, n: int = 20) -> None:
+    """Raise if a key repeats, naming the first offenders, their rows and the fields they differ in."""
+    found = duplicate_report(df, key).orderBy(key).limit(n).collect()
+    if found:
+        told = [f"{r[0]}: {r['rows']} rows, {'differing in ' + ', '.join(r['differing']) if r['differing'] else 'equal in all fields'}" for r in found]
+        raise ValueError(f"duplicate keys {[key]}: {'; '.join(told)}")
+
+
 def split_by_key(df: DataFrame, key: str, cleaned: Column) -> tuple[DataFrame, DataFrame]:
     """Rows whose cleaned key is usable (with the clean key) and the rejected rows as they came."""
     tagged = df.withColumn("_clean", cleaned)

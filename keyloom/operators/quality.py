@@ -13,11 +13,12 @@ from keyloom.functions.text import is_blank
 
 
 class CheckFailed(ValueError):
-    """A raising check found issues; ``issues`` holds (issue, column, found) tuples."""
+    """A raising check found issues; ``issues`` holds (issue, column, found) tuples, ``samples`` some offending rows."""
 
-    def __init__(self, issues: Sequence[tuple]):
-        self.issues = list(issues)
-        super().__init__("; ".join(f"{i} {c or ''} {n}".replace("  ", " ") for i, c, n in self.issues))
+    def __init__(self, issues: Sequence[tuple], samples: Mapping[str, Sequence] | None = None):
+        self.issues, self.samples = list(issues), dict(samples or {})
+        told = [f"{i} {c or ''} {n}".replace("  ", " ") for i, c, n in self.issues]
+        super().__init__("; ".join([*told, *(f"{what}: {rows}" for what, rows in self.samples.items())]))
 
 
 @dataclass(frozen=True)

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from keyloom.functions.rules import fill_if_blank, resolve_option
 from keyloom.functions.schema import normalize_columns, normalize_name, wanted_columns
 from keyloom.functions.text import bullets, clean_id, strip_unicode
-from keyloom.operators.dedupe import require_unique
+from keyloom.operators.dedupe import duplicate_report, require_single_rows
 from keyloom.operators.matching import skew_join
-from keyloom.operators.quality import Expectations, require
+from keyloom.operators.quality import CheckFailed, Expectations, issues
 from keyloom.plans import fixed_values as V
 from keyloom.sources.snapshots import RefreshReport, SnapshotTable
 
@@ -33,7 +33,7 @@ def enrollment_answers(raw: DataFrame, check: bool = True) -> DataFrame:
         log.warning("enrollment columns not found: %s", missing)
     df = df.withColumn(V.ENROLLMENT_KEY, clean_id(V.ENROLLMENT_KEY)).filter(F.col(V.ENROLLMENT_KEY).isNotNull())
     if check:
-        require_unique(df, [V.ENROLLMENT_KEY])
+        require_single_rows(df, V.ENROLLMENT_KEY)
     return df
 
 
@@ -60,13 +60,22 @@ def merge_enrollment(master: DataFrame, answers: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_enr_")])
 
 
-def check_enrollment_file(df: DataFrame) -> None:
-    """Raise unless the file has the key column, no blank key and no repeated key."""
+def check_enrollment_file(df: DataFrame, samples: int = 10) -> None:
+    """Raise unless the file has the key column, no blank key and no repeated key; the error shows some offending rows."""
     key = next((c for c in df.columns if normalize_name(c, dashes=False) == V.ENROLLMENT_KEY), None)
     if key is None:
         raise ValueError(f"column {V.ENROLLMENT_KEY!r} not found in {df.columns[:10]}")
     keys = df.select(clean_id(F.col(f"`{key}`")).alias(V.ENROLLMENT_KEY))
-    require(keys, Expectations(not_null=[V.ENROLLMENT_KEY], unique=V.ENROLLMENT_KEY, min_rows=0))
+    found = issues(keys, Expectations(not_null=[V.ENROLLMENT_KEY], unique=V.ENROLLMENT_KEY, min_rows=0)).collect()
+    if found:  # only then are rows fetched, a few of each kind
+        tagged = df.withColumn("_clean", clean_id(F.col(f"`{key}`")))
+        blank = tagged.filter(F.col("_clean").isNull()).drop("_clean").limit(samples)
+        repeated = duplicate_report(tagged.filter(F.col("_clean").isNotNull()), "_clean", [c for c in df.columns if c != key])
+        shown = {
+            "blank keys": [r.asDict() for r in blank.collect()],
+            "repeated keys": [(r["_clean"], r["rows"], r["differing"]) for r in repeated.orderBy("_clean").limit(samples).collect()],
+        }
+        raise CheckFailed([tuple(r) for r in found], {k: v for k, v in shown.items() if v})
 
 
 def refresh_enrollment(

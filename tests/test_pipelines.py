@@ -98,6 +98,18 @@ def test_repeated_answers_fail(spark):
         enrollment.enrollment_answers(twice)
 
 
+def test_failures_name_the_rows(spark):
+    twice = spark.createDataFrame([("1", "a", "x"), ("1.0", "b", "x"), ("2", "a", "y")], "student_id string, religion string, race string")
+    with pytest.raises(ValueError, match="1: 2 rows, differing in religion"):
+        enrollment.enrollment_answers(twice)
+    file = spark.createDataFrame([("1", "a"), ("1.0", "b"), (" ", "c"), (None, "d"), ("3", "e")], "`Student ID` string, Note string")
+    with pytest.raises(CheckFailed) as failed:
+        enrollment.check_enrollment_file(file)
+    assert sorted(i[0] for i in failed.value.issues) == ["duplicate", "null"]
+    assert failed.value.samples["repeated keys"] == [("1", 2, ["Note"])]
+    assert sorted(r["Note"] for r in failed.value.samples["blank keys"]) == ["c", "d"]
+
+
 def test_invoices(spark, folder, tmp_path_factory):
     tables = stored(fixtures.invoice_tables(spark), tmp_path_factory)
     built = invoices.build(tables, manual_paid=["hand"], excluded=["out"])
