@@ -110,11 +110,18 @@ def next_match(
 
 
 def latest_match(
-    left: DataFrame, right: DataFrame, left_key: str, right_key: str, order: str, payload: Mapping[str, str]
+    left: DataFrame,
+    right: DataFrame,
+    left_key: str,
+    right_key: str,
+    order: str,
+    payload: Mapping[str, str],
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """Left join to the newest right row per key; ``payload`` maps right columns to output names.
 
-    The right side shrinks to one row per key before the join.
+    The right side shrinks to one row per key before the join. ``probe`` is a cheaper frame with ``left_key``
+    to look for hot keys in.
     """
     narrow = right.filter(F.col(right_key).isNotNull()).select(right_key, order, *payload)
     newest = keep_one(narrow, [right_key], [F.col(order).desc_nulls_last()])
@@ -122,7 +129,8 @@ def latest_match(
         F.col(right_key).alias("_key"), *[F.col(c).alias(as_name) for c, as_name in payload.items()]
     )
     keyed = left.withColumn("_key", F.col(left_key))
-    return skew_join(keyed, renamed, "_key").drop("_key")
+    keys = None if probe is None else probe.select(F.col(left_key).alias("_key"))
+    return skew_join(keyed, renamed, "_key", probe=keys).drop("_key")
 
 
 def existence_flags(child: DataFrame, key: str, flags: Mapping[str, Column]) -> DataFrame:

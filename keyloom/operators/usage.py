@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keyloom.functions.dates import FISCAL_START_MONTH
-from keyloom.operators.matching import skew_join
 from keyloom.session import broadcast_limit, estimated_bytes
 
 # Price per colour page and per grayscale page.
@@ -54,7 +53,8 @@ def monthly_usage(
     kind = dict(dated.agg(*[F.sum(c).alias(c) for c in sums]).dtypes)  # of one sum, also where a sum of sums is taken
     if estimated_bytes(users) > broadcast_limit(log.sparkSession):
         dated = dated.groupBy(user_key, *log_keys, year, month).agg(*[F.sum(c).alias(c) for c in sums])
-    named = skew_join(dated, users, user_key, "inner")
+    # Either the users are broadcast or no user has more rows than months and log keys: there is no hot key to look for.
+    named = dated.join(users, user_key, "inner")
     pages = named.groupBy(*user_keys, *log_keys, year, month).agg(
         F.sum("_color").cast(kind["_color"]).alias("total_color_pages"),
         F.sum("_gray").cast(kind["_gray"]).alias("total_grayscale_pages"),

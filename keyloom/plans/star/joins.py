@@ -46,7 +46,8 @@ def snowflake(t):
     """Left chain from the fact outwards.
 
     The result is distinct, so the rows shrink to distinct attributes before each further join: only
-    the first join sees every line, and a customer with a third of the orders is a few rows.
+    the first join sees every line, and a customer with a third of the orders is a few rows. A key of distinct
+    rows has as many rows as its few attributes have values, so there is no hot key to look for.
     """
     lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_returnflag").distinct()
     orders = t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_orderstatus")
@@ -59,7 +60,7 @@ def snowflake(t):
         (nations, "n_nationkey"),
         (t.region, "r_regionkey"),
     ):
-        df = skew_join(df, right, key).drop(key).distinct()
+        df = df.join(right, key, "left").drop(key).distinct()
     return df
 
 

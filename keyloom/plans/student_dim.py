@@ -28,11 +28,16 @@ def eligible() -> Column:
     return F.col("StudentStatus").isin(*V.ELIGIBLE_STATUSES) & (F.col("_year") >= V.FIRST_ACADEMIC_YEAR)
 
 
-def _admitted(tables: Inputs) -> DataFrame:
-    """Eligible students with their admission term and their master rows' programme codes."""
+def _placed(tables: Inputs, students: DataFrame) -> DataFrame:
+    """Students with their admission term and type."""
     admission = tables["admission_infos"].select(
         F.col("StudentId").alias("Id"), F.col("AdmissionTermId").alias("_term"), F.col("AdmissionTypeId").alias("_type")
     )
+    return students.join(admission, "Id", "left")
+
+
+def _admitted(tables: Inputs) -> DataFrame:
+    """Eligible students with their admission term and their master rows' programme codes."""
     terms = tables["terms"].select(
         F.col("Id").alias("_term"), F.col("AcademicYear").alias("_year"), F.col("AcademicTerm").alias("_number")
     )
@@ -40,7 +45,9 @@ def _admitted(tables: Inputs) -> DataFrame:
     master = tables["student_master"].select(
         F.col("studentCode").alias("Code"), F.col("programCode").alias("_programme")
     ).distinct()
-    df = skew_join(tables["students"].join(admission, "Id", "left"), terms, "_term")
+    # Hot keys are looked for in the tables the key comes from, not in what has been joined so far.
+    probe = _placed(tables, tables["students"].select("Id"))
+    df = skew_join(_placed(tables, tables["students"]), terms, "_term", probe=probe)
     return df.filter(eligible()).join(master, "Code", "left")
 
 
@@ -60,10 +67,12 @@ def build(tables: Inputs) -> DataFrame:
         (named("admission_types", "_type", "NameTh", "_admission").withColumn("_known", F.lit(True)), "_type"),
     )
     for right, key in lookups:
-        df = skew_join(df, right, key, probe=None if key == "_type" else tables["students"])
+        probe = _placed(tables, tables["students"].select("Id")) if key == "_type" else tables["students"]
+        df = skew_join(df, right, key, probe=probe)
     df = df.withColumn("_major", F.substring("_programme", 1, V.MAJOR_CODE_LENGTH))
+    codes = tables["student_master"].select(F.substring("programCode", 1, V.MAJOR_CODE_LENGTH).alias("_major"))
     majors = {"NameEn": "_major_name", "Division": "_division", "DivisionName": "_division_name"}
-    df = latest_match(df, tables["majors"], "_major", "Major", "Id", majors)
+    df = latest_match(df, tables["majors"], "_major", "Major", "Id", majors, probe=codes)
     student_type = F.when(F.col("_known"), F.col("_type"))
     return df.select(
         F.col("Code").alias("code"),

@@ -64,7 +64,7 @@ def test_filters_and_columns_reach_the_scan(spark):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
-@pytest.mark.parametrize("name", ["A1_usage_rollup", "A1_closed_periods", "J2_snowflake", "J12_new_keys", "L4_inserted"])
+@pytest.mark.parametrize("name", ["A1_usage_rollup", "A1_closed_periods", "J2_snowflake", "J12_new_keys", "L4_inserted", "J6_latest_per_key", "J8_enrich", "F1_settlement", "V1_issues"])
 def test_large_side_plans_give_the_same(spark, con, name):
     """Without broadcasts: equal rows and equal types."""
     small = QUERIES[name](spark, SMALL).schema
@@ -77,3 +77,17 @@ def test_large_side_plans_give_the_same(spark, con, name):
         assert ok, message
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+@pytest.mark.parametrize("name", ["A1_usage_rollup", "J2_snowflake"])
+def test_large_side_plans_look_for_no_hot_keys(spark, name):
+    """Without broadcasts, building the query reads at most a schema per table: no sketch over rows."""
+    tracker, limit = spark.sparkContext.statusTracker(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.sparkContext.setJobGroup(f"planning {name}", name)
+    try:
+        QUERIES[name](spark, SMALL)
+        assert len(tracker.getJobIdsForGroup(f"planning {name}")) <= 5
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
