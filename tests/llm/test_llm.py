@@ -157,16 +157,51 @@ def test_decontamination_in_blocks(spark, docs, nothing):
     assert clean[4].strip() == "tail" and clean[1] is None and clean[7] == "a" * 900
 
 
+def found_neighbours(table, **sizes):
+    got = neighbours.nearest(table, F.col("vec_id") % 20 == 0, **sizes).collect()
+    return sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got)
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(5)
     rows = [(i, rng.standard_normal(8).tolist()) for i in range(300)] + [(300 + i, [1.0] * 8) for i in range(60)]
-    odd = [(900, None), (920, []), (940, [0.0] * 8), (960, [float("nan")] * 8), (980, [None] * 8), (None, [1.0] * 8), (1000, [1.0]), (0, [9.0] * 8)]
+    odd = [(900, None), (920, []), (940, [0.0] * 8), (960, [float("nan")] * 8), (980, [None] * 8), (None, [1.0] * 8)]
     table = spark.createDataFrame(rows + odd, "vec_id long, embedding array<double>")
-    vectors = dict(rows) | {0: min(rows[0][1], [9.0] * 8)}
-    got = [tuple(r) for r in neighbours.nearest(table, F.col("vec_id") % 20 == 0, query_block=7).orderBy("query_id", "rank").collect()]
+    vectors = dict(rows)
     want = brute.nearest(vectors, [q for q in sorted(vectors) if q % 20 == 0])
-    assert [g[:3] for g in got] == [w[:3] for w in want]
-    assert neighbours.nearest(table.filter("vec_id = 99999"), F.col("vec_id") % 20 == 0).count() == 0
+    clash = ("row", "dim", "vector", "code", "q_strip", "c_strips", "score")
+    for given in (table, table.withColumns({name: F.lit("x") for name in clash})):
+        assert [g[:3] for g in found_neighbours(given, query_strip=7, code_strip=50)] == [w[:3] for w in want]
+    assert [g[:3] for g in found_neighbours(table)] == [w[:3] for w in want]
+    assert found_neighbours(table.filter("vec_id = 99999")) == []
+    assert found_neighbours(table.filter("vec_id = 20")) == []  # no other vector
+
+
+def test_neighbours_of_repeated_ids_and_other_lengths(spark):
+    rows = [(0, [1.0, 0.0]), (1, [3.0, 1.0]), (1, [2.0, 5.0]), (2, [2.0, 5.0]), (20, [1.0, 1.0, 1.0]), (21, [2.0, 0.0, 1.0]), (40, [7.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert found_neighbours(table) == [(0, 1, 1, 3.0), (0, 2, 1, 2.0), (0, 3, 2, 2.0), (20, 1, 21, 3.0)]
+    twice = spark.createDataFrame([(0, [1.0]), (0, [2.0])], "vec_id long, embedding array<double>")
+    assert found_neighbours(twice) == [(0, 1, 0, 2.0), (0, 1, 0, 2.0)]
+
+
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
+def test_neighbours_of_the_given_vectors(spark, folder):
+    """Recall of the registered query against brute force over all rows, and exact scores in the asked order."""
+    given = spark.read.parquet(f"/root/testdata/{folder}/embeddings.parquet").toPandas()
+    ids, vectors = given["vec_id"].to_numpy(), np.array(given["embedding"].tolist(), np.float64)
+    place = {int(x): i for i, x in enumerate(ids)}
+    got = [tuple(r) for r in QUERIES["op7_approximate_nearest_neighbours"](spark, f"/root/testdata/{folder}").orderBy("query_id", "rank").collect()]
+    asked = [int(x) for x in np.sort(ids) if x % 20 == 0]
+    assert [g[:2] for g in got] == [(q, r) for q in asked for r in range(1, 21)]
+    assert all(abs(score - vectors[place[q]] @ vectors[place[v]]) < 1e-12 for q, _, v, score in got)
+    assert got == sorted(got, key=lambda g: (g[0], -g[3], g[2]))
+    hits = 0
+    for q in asked:
+        scores = vectors @ vectors[place[q]]
+        scores[place[q]] = -np.inf
+        hits += len({int(ids[i]) for i in np.lexsort((ids, -scores))[:20]} & {g[2] for g in got if g[0] == q})
+    assert hits >= 0.99 * 20 * len(asked)
 
 
 def test_licenses(spark, docs, nothing):
