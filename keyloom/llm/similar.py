@@ -11,13 +11,17 @@ Sets of similarity J or more differ in at most a third of either's size n (J = 0
    linked documents differ in at most D segments: the number of different segments never exceeds the
    symmetric difference. Sets at a band's upper end are sketched for the next band, too, for their larger
    partners. Small sets have a segment for each shingle.
-2. Pigeonhole. Of a document's non-empty segments (more than D, else shingles serve as segments) the D + 1 + S
-   first in hash order are its keys; linked documents share at least S + 1 of them. Documents with a common
-   key are candidates. A key shared by more than ``HOT`` documents is dropped from those that hold at most S
-   such keys: their linked partners share another key with them.
+2. Pigeonhole. Of a document's non-empty segments (at least D + 1 + S, else shingles serve as segments) the D + 1 + S
+   first in one fixed order are its keys; linked documents share at least S + 1 of them, for the smaller one's S. Documents
+   with a common key are candidates. The order is that of the hashes, but common segments come last: those that a
+   mergeable count over all texts (``COMMON`` counters a task) has seen in more than ``HOT`` documents. So documents that share
+   most of their text with very many others, but hold enough segments of their own, do not meet at all. Whatever the
+   count misses costs time, not links: any order does. A key shared by more than ``HOT`` documents is dropped from
+   those that hold no more such keys than the S of their smallest possible partner: linked partners share another key with them.
 3. Verify. In each key's group, all members are compared with the first one, by size, then by a one-bit parity
    sketch of ``BITS`` bits (its Hamming distance is at most the symmetric difference, too), then exactly.
-   That is linear in the group. What is verified is joined into components.
+   That is linear in the group. What is verified is joined into components. A document's set goes out once
+   for every ``PARTNERS`` of its pairs, so that no task gets all pairs of one document.
 4. Rest. Only in groups that still hold members of different components, pairs from different components are
    compared, again by size and sketch inside the join, by their number of common keys, then exactly. Groups of two
    are not expanded, but their keys are counted. Pairs within a component need no check,
@@ -45,6 +49,7 @@ SHINGLE, PERCENT = 5, 75
 #: Sets below ``SMALL`` have a segment per shingle; bands above grow by ``BAND``.
 SMALL, BAND, FILL = 64, 16, 1.5
 HOT, BITS = 512, 1024
+COMMON, PARTNERS = 1 << 16, 64
 
 _rng = np.random.default_rng(5 * 75)
 BYTE_CODE = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -120,7 +125,15 @@ def difference(n: int) -> int:
 
 
 def spare(n: int) -> int:
-    return 2 + n // 32
+    """How many more keys than necessary a set of ``n`` has; it grows with ``n``."""
+    return max(0, min(2 + n // 32, n - difference(n) - 1))
+
+
+def least_spare(n: Column) -> Column:
+    """``spare`` of the smallest set that a set of ``n`` can link with."""
+    m = F.ceil(n * PERCENT / 100)
+    least = F.least(2 + F.floor(m / 32), m - F.floor(m * (100 - PERCENT) / PERCENT) - 1)
+    return F.greatest(least, F.lit(0))
 
 
 def sketch(hashes: np.ndarray) -> np.ndarray:
@@ -129,33 +142,95 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
-KEYS = "key long, node long, sketch array<long>"
+class Counter:
+    """How often keys were seen, in at most ``COMMON`` counters at rest: counts may be too low, never too high."""
+
+    def __init__(self):
+        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.new, self.size = [], 0
+
+    def add(self, keys: np.ndarray) -> None:
+        self.new.append(keys)
+        self.size += len(keys)
+        if self.size > 16 * COMMON:
+            self.settle()
+
+    def settle(self) -> None:
+        new = np.sort(np.concatenate([self.keys[:0], *self.new]))
+        starts = np.flatnonzero(np.concatenate(([True], new[1:] != new[:-1]))[: len(new)])
+        keys, counts = new[starts], np.diff(np.append(starts, len(new)))
+        at = np.searchsorted(keys, self.keys)
+        known = np.append(keys, np.uint64(1))[at] == self.keys  # keys are even, so the number at the end is none
+        counts[at[known]] += self.counts[known]
+        keys, counts = np.concatenate((keys, self.keys[~known])), np.concatenate((counts, self.counts[~known]))
+        if len(keys) > COMMON:
+            counts -= np.partition(counts, -COMMON - 1)[-COMMON - 1]
+            keys, counts = keys[counts > 0], counts[counts > 0]
+        self.keys, self.counts, self.new, self.size = keys, counts, [], 0
+
+
+def common_keys(docs: DataFrame, text: str, by_shingle: bool) -> np.ndarray:
+    """At most ``COMMON`` segments that more than ``HOT`` texts hold, sorted. A task counts a text once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter, seen = Counter(), set()
+        for batch in batches:
+            fresh = []
+            for i, one in enumerate(batch.column("node").to_pylist()):
+                if one not in seen:
+                    seen.add(one)
+                    fresh.append(i)
+            for _, _, data, offsets in byte_blocks(batch.column("bytes").take(pa.array(fresh, pa.int64()))):
+                for own in shingle_sets(data, offsets):
+                    for band in bands(len(own)) if len(own) else []:
+                        counter.add(segment_keys(own, band, by_shingle))
+        counter.settle()
+        yield pa.RecordBatch.from_arrays([pa.array(counter.keys.view(np.int64)), pa.array(counter.counts)], ["key", "n"])
+
+    counts = docs.select(node(text), utf8(text).alias("bytes")).mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    most = counts.filter(F.col("n") > HOT).orderBy(F.desc("n"), "key").limit(COMMON)
+    return np.sort(np.array([r["key"] for r in most.collect()], np.int64).view(np.uint64))
+
+
+def in_order(found: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, int]:
+    """Sorted keys with the common ones last, and the number of the others."""
+    if not len(common):
+        return found, len(found)
+    late = common[np.minimum(np.searchsorted(common, found), len(common) - 1)] == found
+    return np.concatenate((found[~late], found[late])), len(found) - int(late.sum())
+
+
+KEYS = "key long, node long, common boolean, sketch array<long>"
 #: In place of a key, an odd number holds a node's set size and how many hot keys it may drop.
 SPARE_BITS, TOO_FEW = 20, (1 << 20) - 1
 
 
 def keys_of(docs: DataFrame, text: str, by_shingle: bool) -> DataFrame:
-    """(key, node, sketch): the keys of every text, and one odd number per text that holds its size, with its sketch.
+    """(key, node, common, sketch): the keys of every text, and one odd number per text that holds its size, with its sketch.
 
     Repeats of a text inside a batch are skipped, so that copies do not multiply the keys.
     """
+    held_common = docs.sparkSession.sparkContext.broadcast(common_keys(docs, text, by_shingle))  # at most COMMON numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = held_common.value
         for batch in batches:
             nodes, firsts = np.unique(batch.column("node").to_numpy(), return_index=True)
             firsts.sort()
             batch = batch.take(pa.array(firsts))
             nodes = batch.column("node").to_numpy()
             for first, end, data, offsets in byte_blocks(batch.column("bytes")):
-                keys, counts, sketches = [], [], []
+                keys, late, counts, sketches = [], [], [], []
                 for own in shingle_sets(data, offsets):
-                    n, most, free, held = len(own), difference(len(own)), spare(len(own)), 1
+                    n, wanted, enough, held = len(own), difference(len(own)) + 1 + spare(len(own)), True, 1
                     for band in bands(n) if n else []:
-                        found = segment_keys(own, band, by_shingle)
-                        free = min(free, len(found) - most - 1)
-                        keys.append(found[: most + 1 + spare(n)].view(np.int64))
+                        found, others = in_order(segment_keys(own, band, by_shingle), common)
+                        enough &= len(found) >= wanted
+                        keys.append(found[:wanted].view(np.int64))
+                        late.append(np.arange(len(keys[-1])) >= others)
                         held += len(keys[-1])
-                    keys.append(np.array([(n << SPARE_BITS | (TOO_FEW if free < 0 else min(free, TOO_FEW - 1))) << 1 | 1]))
+                    keys.append(np.array([(n << SPARE_BITS | (min(spare(n), TOO_FEW - 1) if enough else TOO_FEW)) << 1 | 1]))
+                    late.append(np.zeros(1, bool))
                     counts.append(held)
                     sketches.append(sketch(own))
                 last = np.cumsum(counts) - 1
@@ -166,9 +241,10 @@ def keys_of(docs: DataFrame, text: str, by_shingle: bool) -> DataFrame:
                     [
                         pa.array(np.concatenate(keys)),
                         pa.array(np.repeat(nodes[first:end], counts), pa.int64()),
+                        pa.array(np.concatenate(late)),
                         pa.ListArray.from_arrays(pa.array(places), pa.array(np.concatenate(sketches)), mask=pa.array(~sized)),
                     ],
-                    ["key", "node", "sketch"],
+                    ["key", "node", "common", "sketch"],
                 )
 
     return docs.select(node(text), utf8(text).alias("bytes")).mapInArrow(run, KEYS)
@@ -185,14 +261,18 @@ def node_of(digest: Column) -> Column:
 
 
 def groups(docs: DataFrame, text: str, by_shingle: bool) -> DataFrame:
-    """(key, node, sketch, hot): rows of keys that several nodes share, and the sizes' rows; written."""
+    """(key, node, sketch, hot): rows of keys that several nodes share, and the sizes' rows; written.
+
+    Common keys are known to be hot, so their rows need not meet and are dealt by node.
+    """
     rows = keys_of(docs, text, by_shingle)
     size_row = F.col("key").bitwiseAND(F.lit(1)) == 1
-    apart = rows.withColumn("_of", F.when(size_row, F.col("node")).otherwise(0))
+    alone = size_row | F.col("common")
+    apart = rows.withColumn("_of", F.when(alone, F.col("node")).otherwise(0))
     whole = Window.partitionBy("key", "_of")
     seen = apart.select("*", F.min("node").over(whole).alias("_low"), F.max("node").over(whole).alias("_high"), F.count("*").over(whole).alias("_n"))
-    kept = seen.filter(size_row | (F.col("_low") != F.col("_high")))
-    return written(kept.select("key", "node", "sketch", (F.col("_n") > HOT).alias("hot")), "groups")
+    kept = seen.filter(alone | (F.col("_low") != F.col("_high")))
+    return written(kept.select("key", "node", "sketch", (F.col("common") | (F.col("_n") > HOT)).alias("hot")), "groups")
 
 
 SETS = "node long, shingles array<long>"
@@ -260,13 +340,27 @@ def nodes_of(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
 
 
+def copies(pairs: DataFrame, side: str, other: str) -> tuple[DataFrame, DataFrame]:
+    """``pairs`` with the number of the copy of one side's set they are dealt to, and how many copies each node needs."""
+    needed = pairs.groupBy(side).agg(F.ceil(F.count("*") / PARTNERS).alias("_n"))
+    dealt = pairs.join(needed, side).withColumn(f"_{side}", F.pmod(F.xxhash64(other), "_n")).drop("_n")
+    return dealt, needed
+
+
+def repeated(sets: DataFrame, needed: DataFrame, side: str, name: str) -> DataFrame:
+    """The sets of one side, once for each of their copies."""
+    one = sets.join(needed.withColumnRenamed(side, "node"), "node")
+    return one.select(F.col("node").alias(side), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1)).alias(f"_{side}"), F.col("shingles").alias(name))
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough; written. Only the sets of b move."""
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("_x"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("_y"))
+    """The pairs (a, b) whose sets are similar enough; written."""
+    dealt, needed_a = copies(pairs, "a", "b")
+    dealt, needed_b = copies(dealt, "b", "a")
     both = F.size(F.array_intersect("_x", "_y"))
     similar = both * 100 >= (F.size("_x") + F.size("_y") - both) * PERCENT
-    return written(pairs.join(two, "b").join(one, "a").filter(similar).select("a", "b"), "links")
+    joined = dealt.join(repeated(sets, needed_b, "b", "_y"), ["b", "_b"]).join(repeated(sets, needed_a, "a", "_x"), ["a", "_a"])
+    return written(joined.filter(similar).select("a", "b"), "links")
 
 
 def apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
@@ -303,7 +397,7 @@ def node_components(docs: DataFrame, text: str = "text", by_shingle: bool = Fals
     keys = rows.filter(~size_row).select("key", "node", "hot").dropDuplicates(["key", "node"])
     hot = keys.filter("hot").groupBy("node").agg(F.count("*").alias("hot"))
     sizes = written(sizes.join(hot, "node", "left").withColumn("hot", F.coalesce("hot", F.lit(0))), "sizes")
-    light = sizes.filter((F.col("hot") > 0) & (F.col("hot") <= F.col("spare"))).select("node")
+    light = sizes.filter((F.col("hot") > 0) & (F.col("hot") <= least_spare(F.col("n")))).select("node")
     kept = keys.filter("not hot").unionByName(keys.filter("hot").join(light, "node", "left_anti"))
     kept = written(kept.select("key", "node"), "kept_keys")
     first = kept.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("_n"))
