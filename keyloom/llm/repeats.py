@@ -8,10 +8,10 @@ another. The work is dealt out so that equal strings meet and no task holds the
    window is in exactly one segment. Segments of anchors that occur once hold no repeat.
 2. Equal segments collapse to one with a count; a count of two marks all its windows.
 3. The different segments of an anchor go to one task, which builds an index of a few megabytes of segments at a
-   time: their Burrows-Wheeler transform in runs, the text positions sampled at run ends, and the length of
-   the match with the neighbouring suffix there. Between samples a match shortens by one byte per byte, so one
-   pass over the text streams the matching statistics of every position against everything else in the index,
-   and windows whose longest match reaches ``LENGTH`` are marked.
+   time: their Burrows-Wheeler transform in runs, text positions sampled at run ends, and the lengths of the
+   matches that begin there. The segments are then streamed through the runs from their ends to their starts,
+   which gives the longest match of every position with everything else in the index, and windows whose
+   longest match reaches ``LENGTH`` are marked.
 4. An anchor with more than ``MOST`` different segments is too much for one index; its windows are keyed by
    their whole content instead, which spreads them, and meet by that key.
 
@@ -111,10 +111,11 @@ def segments(texts: DataFrame) -> DataFrame:
 
 
 class RunLengthIndex:
-    """The Burrows-Wheeler transform of some strings in runs, sampled at run ends.
+    """The Burrows-Wheeler transform of some strings in runs, with samples at run ends.
 
-    ``head`` and ``tail`` are the text positions at the first and last place of each run, ``match`` the length of
-    the common prefix of a run's first suffix with the suffix before it (the last one of the run before).
+    Per run: its first row (``first``), its symbol, its length, the row that the step to the symbol before leads its
+    first row to (``to``), and the length of the match there with the row above its first row (``above``) and
+    below its last row (``below``). ``head`` and ``tail`` are the text positions sampled at its ends.
     """
 
     STEP = 7  # symbols of 9 bits in a word: byte + 1, and 0 beyond the end
@@ -127,13 +128,21 @@ class RunLengthIndex:
         symbols[ends] = 0
         self.left = np.repeat(ends, lengths + 1) - np.arange(len(symbols))  # symbols up to the string's end
         self.words = self.packed(symbols)
-        order = self.suffix_order()
-        order = order[self.left[order] > 0]
+        order = self.suffix_order()  # the strings' ends come first, in the strings' order
         before = np.where(order > 0, symbols[order - 1], 0)  # the transform; 0 where a string starts
-        heads = np.flatnonzero(np.concatenate(([True], (before[1:] != before[:-1]) | (before[1:] == 0))))
-        self.symbols, self.run_lengths = before[heads], np.diff(np.concatenate((heads, [len(order)])))
-        self.head, self.tail = order[heads], order[np.concatenate((heads[1:], [len(order)])) - 1]
-        self.match = np.concatenate(([0], self.common(self.tail[:-1], self.head[1:])))
+        self.first = np.flatnonzero(np.concatenate(([True], (before[1:] != before[:-1]) | (before[1:] == 0))))
+        self.symbols, self.run_lengths = before[self.first], np.diff(np.concatenate((self.first, [len(order)])))
+        self.head, self.tail = order[self.first], order[self.first + self.run_lengths - 1]
+
+        by_symbol = np.argsort(self.symbols, kind="stable")
+        self.to = np.empty(len(self.first), np.int64)
+        self.to[by_symbol] = np.cumsum(self.run_lengths[by_symbol]) - self.run_lengths[by_symbol]
+        # The symbol before leads a run's first row right below the last row of the run before with that symbol.
+        upper, lower = by_symbol[:-1], by_symbol[1:]
+        meet = (self.symbols[upper] == self.symbols[lower]) & (self.symbols[lower] > 0)
+        upper, lower = upper[meet], lower[meet]
+        self.above, self.below = np.zeros(len(self.first), np.int64), np.zeros(len(self.first), np.int64)
+        self.above[lower] = self.below[upper] = self.common(self.tail[upper] - 1, self.head[lower] - 1)
 
     def packed(self, symbols: np.ndarray) -> np.ndarray:
         padded = np.concatenate((symbols, np.zeros(self.STEP, np.int64)))
@@ -183,15 +192,25 @@ class RunLengthIndex:
         return out
 
     def matching_statistics(self) -> np.ndarray:
-        """Per position of the text, the longest match of what follows with any other place."""
-        n = len(self.left)
-        place = np.arange(n)
-        out = np.zeros(n, np.int64)
-        for samples, values in ((self.head, self.match), (self.tail, np.concatenate((self.match[1:], [0])))):
-            known, value = np.full(n, -1), np.zeros(n, np.int64)
-            known[samples], value[samples] = samples, values
-            last = np.maximum.accumulate(known)
-            out = np.maximum(out, np.where(last >= 0, value[last] - (place - last), 0))
+        """Per position of the text, the longest match of what follows with any other place.
+
+        All strings go through the index at once, from their ends to their starts. Inside a run a match with the
+        neighbouring row grows by one symbol, as both have the same symbol before; at run ends it is the sample.
+        """
+        out = np.zeros(len(self.left), np.int64)
+        live = np.flatnonzero(np.diff(self.starts) > 1)
+        row, place, until = live, self.starts[live + 1] - 1, self.starts[live]
+        up, down = np.zeros(len(live), np.int64), np.zeros(len(live), np.int64)
+        while len(row):
+            run = np.searchsorted(self.first, row, "right") - 1
+            inside = row - self.first[run]
+            up = np.where(inside == 0, self.above[run], up + 1)
+            down = np.where(inside == self.run_lengths[run] - 1, self.below[run], down + 1)
+            row, place = self.to[run] + inside, place - 1
+            out[place] = np.maximum(up, down)
+            more = place > until
+            if not more.all():
+                row, place, until, up, down = row[more], place[more], until[more], up[more], down[more]
         return out
 
 

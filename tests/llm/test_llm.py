@@ -102,6 +102,23 @@ def test_matching_statistics():
                 assert mask.tolist() == [i + length <= len(s) and seen.count(s[i : i + length]) > 1 for i in range(len(s))]
 
 
+def test_streaming_through_the_runs_gives_whole_match_lengths():
+    def match(a, b):
+        return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+    rng = np.random.default_rng(5)
+    for alphabet in (b"ab", b"\x00\xffa") * 60:
+        strings = [bytes(rng.choice(list(alphabet), rng.choice([0, 1, 3, 9, 14]))) for _ in range(rng.integers(1, 7))]
+        index = repeats.RunLengthIndex(strings)
+        got = index.matching_statistics()
+        places = [(k, i) for k, s in enumerate(strings) for i in range(len(s))]
+        for k, i in places:
+            others = (match(strings[k][i:], strings[q][j:]) for q, j in places if (q, j) != (k, i))
+            assert got[index.starts[k] + i] == max(others, default=0)
+    copies = repeats.RunLengthIndex([b"abcdefgh" * 100] * 50)
+    assert len(copies.first) < len(copies.left) // 90 and copies.run_lengths.sum() == len(copies.left)  # the runs are few
+
+
 def test_conversations(spark):
     odd = ["\\", "<turn>", "\\</turn>\\\\", "<text>x", None, "", "a</turn>" * 300, "<tur"]
     rows = [(7, t, r, x) for t, x in enumerate(odd) for r in ("user", "assistant", None, "</turn>")] + [(None, None, "user", "q")] * 2
