@@ -6,8 +6,9 @@ its largest slots up to the mean load, the others go one by one, largest first,
 All versions stay in a table (version, slot, shard, bytes, rows).
 
 A slot that alone outweighs an eighth of a shard (one record repeated by a third of all rows, say) is dealt
-over all slots again, by the rows' own numbers. Loads and map have a row per slot, whatever the input. Columns of the input that are named like an
-added one stay; the added one then gets an underscore.
+over all slots again, by the rows' own numbers. Loads and map have a row per slot, whatever the input. Rows get their
+places by slot and one of ``PARTS`` parts of it, each sorted by a hash in a task of its own, so that a slot's rows never
+meet. Columns of the input that are named like an added one stay; the added one then gets an underscore.
 Nulls hash like any value. Long texts count with all their bytes. Repeated rows are rows of their own, and equal texts may go
 to different shards: only sizes are balanced. Empty input gives an empty result.
 """
@@ -23,6 +24,8 @@ from keyloom.llm.common import free_name, numbered, quoted, written
 
 SLOTS = 4096
 SHARDS = 40
+#: Parts of a slot whose rows are numbered apart. Their loads have at most SLOTS * PARTS rows of four numbers.
+PARTS = 32
 #: Bytes of a record besides its text.
 OVERHEAD = 16
 
@@ -35,9 +38,8 @@ def text_crc32(text: str = "text") -> Column:
     return F.crc32(F.coalesce(quoted(text), F.lit("")).cast("binary"))
 
 
-def slot_loads(spark: SparkSession, rows: DataFrame, slot: str, size: str, slots: int) -> DataFrame:
-    """One row for each slot, empty ones too."""
-    loads = rows.groupBy(quoted(slot).alias("slot")).agg(F.sum(quoted(size)).alias("bytes"), F.count("*").alias("rows"))
+def every_slot(spark: SparkSession, loads: DataFrame, slots: int) -> DataFrame:
+    """``loads`` (slot, bytes, rows) with one row for each slot, empty ones too."""
     every = spark.range(slots).select(F.col("id").cast("int").alias("slot"))
     return every.join(loads, "slot", "left").select(
         "slot", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("bytes", "rows")]
@@ -75,40 +77,48 @@ def rebalanced(current: DataFrame, shards: int) -> DataFrame:
     return after.select((F.col("version") + 1).alias("version"), "slot", F.coalesce("_to", "shard").alias("shard"), "bytes", "rows")
 
 
-def rows_with_slots(rows: DataFrame, row: str, keys: Sequence[str], size: str, shards: int, slots: int) -> tuple[DataFrame, str]:
-    """``rows`` with their slot; slots that outweigh an eighth of a shard are dealt out again."""
-    spark, name = rows.sparkSession, free_name(rows, "virtual_slot")
+def slot_of(hashed: Column, slots: int) -> Column:
+    return F.pmod(hashed, F.lit(slots)).cast("int")
+
+
+def spread_hash(rows: DataFrame, row: str, keys: Sequence[str], size: str, shards: int, slots: int) -> Column:
+    """The hash that says which slot a row is in; rows of slots that outweigh an eighth of a shard have one each."""
     hashed = F.xxhash64(*map(quoted, keys))
-    home = F.pmod(hashed, F.lit(slots)).cast("int")
-    loads = written(slot_loads(spark, rows.withColumn(name, home), name, size, slots), "loads")
+    home = slot_of(hashed, slots)
+    loads = written(rows.groupBy(home.alias("slot")).agg(F.sum(quoted(size)).alias("bytes")), "loads")
     # At most eight heavy slots per shard.
     total = loads.agg(F.sum("bytes").alias("_total"))
     heavy = loads.join(F.broadcast(total), F.col("bytes") * 8 * shards > F.col("_total")).select(F.collect_set("slot").alias("_heavy"))
     heavy = heavy.first()[0]
-    again = F.pmod(F.xxhash64(hashed, quoted(row)), F.lit(slots)).cast("int")
-    return rows.withColumn(name, F.when(home.isin(heavy), again).otherwise(home) if heavy else home), name
+    return F.when(home.isin(heavy), F.xxhash64(hashed, quoted(row))).otherwise(hashed) if heavy else hashed
 
 
 def assign(
-    records: DataFrame, keys: Sequence[str], size: str, shards: int = SHARDS, slots: int = SLOTS
+    records: DataFrame, keys: Sequence[str], size: str, shards: int = SHARDS, slots: int = SLOTS, parts: int = PARTS
 ) -> tuple[DataFrame, DataFrame]:
     """``records`` with ``shard``, ``slot`` (position in the shard, from 0) and ``virtual_slot``; and the map's versions."""
     rows, row = numbered(records, "records")
-    rows, home = rows_with_slots(rows, row, keys, size, shards, slots)
-    first = written(first_map(slot_loads(rows.sparkSession, rows, home, size, slots), shards), "slot_map")
+    spread, home, part = (free_name(rows, name) for name in ("spread_hash", "virtual_slot", "slot_part"))
+    rows = rows.withColumn(spread, spread_hash(rows, row, keys, size, shards, slots))
+    rows = rows.withColumn(home, slot_of(F.col(spread), slots)).withColumn(part, slot_of(F.xxhash64(spread), parts))
+    loads = rows.groupBy(F.col(home).alias("slot"), F.col(part).alias("part")).agg(F.sum(quoted(size)).alias("bytes"), F.count("*").alias("rows"))
+    loads = written(loads, "part_loads")
+    per_slot = loads.groupBy("slot").agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
+    first = written(first_map(every_slot(rows.sparkSession, per_slot, slots), shards), "slot_map")
     second = rebalanced(first, shards)
     versions = written(first.unionByName(second), "slot_map")
-    current = versions.filter("version = 2")
-    earlier = Window.partitionBy("shard").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    current = current.select(
-        F.col("slot").alias("_slot"), F.col("shard").alias("_shard"), F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("_offset")
-    )
-    within = Window.partitionBy(quoted(home)).orderBy(*map(quoted, keys), quoted(row))
-    # The map has one row per slot: a bounded broadcast.
-    placed = rows.withColumn("_place", F.row_number().over(within)).join(F.broadcast(current), quoted(home) == F.col("_slot"))
+    current = versions.filter("version = 2").select("slot", "shard")
+    earlier = Window.partitionBy("shard").orderBy("slot", "part").rowsBetween(Window.unboundedPreceding, -1)
+    at_slot, at_part, shard, offset, place = (free_name(rows, name) for name in ("_slot", "_part", "_shard", "_offset", "_place"))
+    begins = loads.join(current, "slot").withColumn("offset", F.coalesce(F.sum("rows").over(earlier), F.lit(0)))
+    begins = begins.select(F.col("slot").alias(at_slot), F.col("part").alias(at_part), F.col("shard").alias(shard), F.col("offset").alias(offset))
+    within = Window.partitionBy(home, part).orderBy(spread, quoted(row))
+    # One row of four numbers per slot and part: a bounded broadcast.
+    met = (F.col(home) == F.col(at_slot)) & (F.col(part) == F.col(at_part))
+    placed = rows.withColumn(place, F.row_number().over(within)).join(F.broadcast(begins), met)
     return placed.select(
         *map(quoted, records.columns),
-        F.col("_shard").alias(free_name(records, "shard")),
-        (F.col("_offset") + F.col("_place") - 1).cast("long").alias(free_name(records, "slot")),
-        quoted(home).alias(free_name(records, "virtual_slot")),
+        F.col(shard).alias(free_name(records, "shard")),
+        (F.col(offset) + F.col(place) - 1).cast("long").alias(free_name(records, "slot")),
+        F.col(home).alias(free_name(records, "virtual_slot")),
     ), versions
