@@ -146,6 +146,14 @@ def test_shards(docs, nothing):
     for k in {r[0] for r in rows}:
         assert sorted(r[1] for r in rows if r[0] == k) == list(range(sum(r[0] == k for r in rows)))
     assert sharding.assign(nothing.withColumn("size", sharding.record_size()), ["doc_id"], "size")[0].count() == 0
+    # Slots in many parts and in one: places are gapless either way, and shards are the same.
+    big = docs.sparkSession.range(3000).select("id", (F.col("id") % 7).alias("_slot"), F.lit("x").alias("slot_part"), F.when(F.col("id") % 3 > 0, F.col("id")).alias("k"))
+    big = big.withColumn("size", F.lit(20).cast("long"))
+    one, many = (sharding.assign(big, ["k"], "size", shards=5, slots=32, parts=p)[0].select("id", "shard", "slot").collect() for p in (1, 8))
+    assert {(r[0], r[1]) for r in one} == {(r[0], r[1]) for r in many} and len(many) == 3000
+    for rows in (one, many):
+        for k in range(5):
+            assert sorted(r[2] for r in rows if r[1] == k) == list(range(sum(r[1] == k for r in rows)))
 
 
 def test_mix(spark, docs, nothing):
@@ -229,6 +237,45 @@ def test_licenses(spark, docs, nothing):
     assert 1 - (1 - licenses.SIMILARITY) ** licenses.BANDS >= licenses.CERTAINTY
 
 
+def test_whole_license_texts(spark):
+    rng = np.random.default_rng(11)
+
+    def terms(n):
+        return [f"term{k}" for k in rng.integers(0, 5000, n)]
+
+    long, other = terms(700), terms(300)
+    stated = [("LONG", " ".join(long)), ("LONG", " ".join(long)), ("OTHER", " ".join(other)), ("OTHER", "a short notice of the other license"), ("NONE", None), ("NONE", " .")]
+    table = spark.createDataFrame(stated, "license string, template string")
+    half = long[:350] + terms(350)
+    most = long[:560] + terms(140)
+    moved = long[400:] + terms(90) + long[:400]
+    texts = [long, terms(200) + most, half, moved, terms(3000), other[:150] + long + terms(20) + other[150:], "x a short notice of the other license y".split()]
+    docs = spark.createDataFrame([(i, " ".join(t), "s", 1) for i, t in enumerate(texts)] + [(7, None, "s", 1), (8, "", "s", 1)], "doc_id long, text string, section string, share int")
+
+    def runs(tokens):
+        return [" ".join(tokens[i : i + 3]) for i in range(max(1, len(tokens) - 2))]
+
+    def shares(tokens, template):
+        every, n = runs(template), -(-len(runs(template)) // licenses.SECTION)
+        cuts = [set(every[len(every) * k // n : len(every) * (k + 1) // n]) for k in range(n)]
+        starts = range(0, len(runs(tokens)), licenses.STEP)
+        near = [set(runs(tokens[max(0, at - reach) :][: 2 * reach + licenses.WINDOW + licenses.SHINGLE])) for at in starts]
+        return sum(max(len(c & some) for some in near) for c in cuts) / sum(map(len, cuts))
+
+    want, reach = [], 64  # the longest section: 698 shingles in 11 of them
+    for i, tokens in enumerate(texts):
+        for name, forms in (("LONG", [long]), ("OTHER", [other, "a short notice of the other license".split()])):
+            share = max(shares(tokens, f) for f in forms)
+            if share >= licenses.CONTAINMENT:
+                want.append((i, name, round(share, 9)))
+    assert {(i, n) for i, n, _ in want} == {(0, "LONG"), (1, "LONG"), (3, "LONG"), (5, "LONG"), (5, "OTHER"), (6, "OTHER")}
+    for block in (licenses.MAX_TEMPLATE_KEYS, 6000):  # one block, and several passes
+        found = licenses.scan(docs, table, block_keys=block).collect()
+        assert sorted((r["doc_id"], r["license"], round(r["containment"], 9)) for r in found) == want
+        assert all(r["n_windows"] > 0 for r in found)
+    assert licenses.scan(docs, table.limit(0)).count() == 0
+
+
 def test_toxicity_words():
     assert toxicity.whole_words(None) == toxicity.whole_words(" _-. ") == set()
     assert toxicity.whole_words("Ab_c1 ab\x7fÉté") == {"ab", "c1", "été"}
