@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from keyloom.session import new_run_folder, shuffle_width
 
 ROW = "_row"
+#: Rows of an Arrow batch that holds whole texts; the JVM and a Python worker each hold a batch several times over.
+TEXT_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +47,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches have at most ``TEXT_ROWS`` rows: for texts on their way to Python."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= TEXT_ROWS:
+        conf.set(name, TEXT_ROWS)
+    return df
+
+
 def numbered(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     """``df`` written with a unique row number, and that column's name.
 
