@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from keyloom.llm import decontamination, mixing, sharding, similar, toxicity
-from keyloom.llm.common import free_name, quoted, table, written
+from keyloom.llm.common import free_name, quoted, table, text_batches, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +54,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each reads what the one before has written."""
-    docs = table(spark, sf_dir, "documents")
+    docs = text_batches(table(spark, sf_dir, "documents"))
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"stage_{name}")
     return docs
