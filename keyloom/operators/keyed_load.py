@@ -1,8 +1,8 @@
 """Keyed loads: guarded, overwrite and exact upserts, insert-only loads, and what they changed.
 
 All loads read two tables, ``target`` and ``source``, and give back DataFrames; writing is left to
-``keyloom.sources``. Both sides must be unique on the key (``require_unique``): an outer join would
-otherwise repeat rows silently.
+``keyloom.sources``. Both sides must be unique on the key: an outer join would otherwise repeat rows
+silently. A load whose source repeats a key raises when it runs, in the shuffle that the join needs anyway.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -210,7 +210,16 @@ def usable_source(source: DataFrame, rule: LoadRule) -> DataFrame:
     return source.filter(" AND ".join(f"trim(cast(`{k}` as string)) <> ''" for k in rule.keys))
 
 
-def _pair_up(target: DataFrame, source: DataFrame, rule: LoadRule, how: str) -> tuple[DataFrame, _Columns]:
+def _raising_repeats(side: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The rows of one side of a load; running it raises if two of them have one key. Rows with a NULL key match nothing and may repeat."""
+    seen = F.row_number().over(Window.partitionBy(*on).orderBy(F.lit(1)))
+    shown = F.concat_ws(", ", *[F.col(k).cast("string") for k in on[:-1]])
+    has_key = ~any_of([F.col(k).isNull() for k in on[:-1]])
+    once = F.when(has_key & (F.col("_seen") > 1), F.raise_error(F.concat(F.lit("the source repeats the key "), shown))).otherwise(F.lit(True))
+    return side.withColumn("_seen", seen).filter(once).drop("_seen")
+
+
+def _pair_up(target: DataFrame, source: DataFrame, rule: LoadRule, how: str, checked: bool) -> tuple[DataFrame, _Columns]:
     columns = _Columns(target, source, rule)
     s_keys = [columns.source_of[k] for k in rule.keys]
     source = usable_source(source, replace(rule, keys=tuple(s_keys)))
@@ -225,22 +234,26 @@ def _pair_up(target: DataFrame, source: DataFrame, rule: LoadRule, how: str) ->
     on = [*(f"_k{i}" for i in range(len(rule.keys))), "_spread"]
     t_side = side(target, rule.keys, "_t", F.struct(*[F.col(c) for c in target.columns]))
     s_side = side(source, s_keys, "_s", columns.source_struct())
+    s_side = s_side if checked else _raising_repeats(s_side, on)
     paired = t_side.join(s_side, on, how) if how == "full" else s_side.join(t_side, on, how)
     return columns.with_op(paired), columns
 
 
-def upsert(target: DataFrame, source: DataFrame, rule: LoadRule) -> DataFrame:
-    """The whole merged table: target rows updated, kept, and source rows inserted. One outer join."""
-    paired, columns = _pair_up(target, source, rule, "full")
+def upsert(target: DataFrame, source: DataFrame, rule: LoadRule, checked: bool = False) -> DataFrame:
+    """The whole merged table: target rows updated, kept, and source rows inserted. One outer join.
+
+    ``checked`` says that the source is known to have each key once, as the rule matches keys.
+    """
+    paired, columns = _pair_up(target, source, rule, "full", checked)
     return paired.select(columns.row().alias("_row")).select("_row.*")
 
 
-def change_set(target: DataFrame, source: DataFrame, rule: LoadRule) -> DataFrame:
+def change_set(target: DataFrame, source: DataFrame, rule: LoadRule, checked: bool = False) -> DataFrame:
     """Only the rows the load writes: ``_op`` (INSERT or UPDATE), the new row, and ``changes``.
 
-    A left join from the source, so the target side may be pruned to the source's key range.
+    A left join from the source, so the target side may be pruned to the source's key range. ``checked`` as in ``upsert``.
     """
-    paired, columns = _pair_up(target, source, rule, "left")
+    paired, columns = _pair_up(target, source, rule, "left", checked)
     touched = paired.filter("_op <> 'KEEP'")
     return touched.select("_op", columns.row().alias("_row"), columns.changes().alias("changes")).select(
         "_op", "_row.*", "changes"

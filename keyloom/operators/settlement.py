@@ -104,7 +104,8 @@ def settle(
     """One row per billable invoice with a positive amount.
 
     ``manual_paid`` and ``excluded`` are invoice numbers that count as paid and that are left out;
-    lump-sum invoices of ``lump_sum_term`` (year, term) count as paid. The next credit note is looked
+    an invoice without a number is left out with or without them, as it cannot be told from those. Lump-sum
+    invoices of ``lump_sum_term`` (year, term) count as paid. The next credit note is looked
     up among all invoices, before any is left out.
     """
     # Neither a billable invoice nor a credit note may be inactive or cancelled, so that test comes

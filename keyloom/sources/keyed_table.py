@@ -333,7 +333,7 @@ class KeyedTable:
         if self.fingerprint and rule.compare == "exact" and set(compared_columns(empty, source, rule)) == set(self.fingerprint):
             staged = materialize(self.differing(staged, base, near, source_of, s_keys), "differing")
             near = near.filter(F.col(BUCKET).isin(self._buckets_in(staged)))
-        changed = change_set(self._stored(base, near).drop(BUCKET), staged.drop(BUCKET), rule)
+        changed = change_set(self._stored(base, near).drop(BUCKET), staged.drop(BUCKET), rule, checked=True)
         delta = materialize(self._bucket_of(changed, self.keys, base.schema), "changes")
         per_bucket = delta.groupBy(BUCKET).agg(*load_measures(rule), F.bool_or(F.col("_op") == "UPDATE").alias("rewrite"))
         written = {r[BUCKET]: r for r in per_bucket.collect()}  # one small row per bucket

@@ -171,3 +171,25 @@ def test_update_samples_are_bounded_by_key(spark):
     s = t.withColumn("a", F.lit("x")).withColumn("b", F.lit("y"))
     rows = load.update_samples(load.change_set(t, s, load.guarded("k")), "k", 10).collect()
     assert len(rows) == 20 and {r["key"] for r in rows} == {f"{i:02}" for i in range(10)}
+
+
+def test_a_repeated_source_key_raises_when_the_load_runs(spark):
+    t = spark.createDataFrame([("3", "a")], "k string, v string")
+    s = spark.createDataFrame([("3", "b"), (" 3", "c"), ("4", "d")], "k string, v string")
+    for merged in (load.upsert(t, s, load.guarded("k")), load.change_set(t, s, load.guarded("k"))):
+        with pytest.raises(Exception, match="the source repeats the key 3"):
+            merged.collect()
+    assert load.change_set(t, s, load.exact("k")).count() == 3  # untrimmed, they are three keys
+    missing = spark.createDataFrame([(None, "x"), (None, "x"), ("3", "b")], "k string, v string")
+    assert load.upsert(t, missing, load.exact("k")).count() == 3
+
+
+def test_the_check_of_source_keys_adds_no_shuffle(spark):
+    t = spark.range(50).select(F.col("id").cast("string").alias("k"), F.lit("v").alias("v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans = [load.change_set(t, t, load.exact("k"), checked=c)._jdf.queryExecution().executedPlan().toString() for c in (False, True)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [2, 2]
